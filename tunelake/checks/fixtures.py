@@ -80,18 +80,25 @@ def example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat(
         F.lit('{"instruction": "' + INFERENCE_INSTRUCTION + '", "input": "'), "p_name", F.lit('"')
     )
-    good = F.concat(head, F.lit(', "output": '), dumps_record(record_of_part()), F.lit("}"))
     defect = F.col("p_partkey") % 11
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"),
-        F.when(defect == 1, " ")
-        .when(defect == 2, "{bad")
-        .when(defect == 3, "[1]")
-        .when(defect == 4, F.concat(head, F.lit("}")))
-        .when(defect == 5, F.concat(good, F.lit(" trailing")))
-        .when(defect == 6, F.concat(F.lit("  "), good, F.lit("\t")))
-        .otherwise(good)
-        .alias("value"),
+    good = F.col("good")
+    return (
+        table(spark, sf_dir, "part")
+        .withColumn("head", head)
+        .withColumn(
+            "good", F.concat("head", F.lit(', "output": '), dumps_record(record_of_part()), F.lit("}"))
+        )
+        .select(
+            F.col("p_partkey").alias("id"),
+            F.when(defect == 1, " ")
+            .when(defect == 2, "{bad")
+            .when(defect == 3, "[1]")
+            .when(defect == 4, F.concat("head", F.lit("}")))
+            .when(defect == 5, F.concat(good, F.lit(" trailing")))
+            .when(defect == 6, F.concat(F.lit("  "), good, F.lit("\t")))
+            .otherwise(good)
+            .alias("value"),
+        )
     )
 
 
@@ -104,20 +111,23 @@ def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, predicted_json``: the expected record changed by the remainder of the key by 11."""
-    record = record_of_part()
     rule = F.col("p_partkey") % 11
-    whole = dumps_record(record)
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"),
-        F.when(rule == 1, dumps_record(record.withField("stage", F.lit("changed"))))
-        .when(rule == 2, dumps_record(record.withField("response", F.lit(None).cast("string"))))
-        .when(
-            rule == 3, F.concat(F.expr("'{\"other\": 1, '"), F.substr(whole, F.lit(2)))
-        )
-        .when(rule == 4, dumps_record(record, RECORD_FIELDS[:-1]))
-        .when(rule == 5, dumps_record(record, RECORD_FIELDS[::-1]))
-        .when(rule == 6, F.lit(None).cast("string"))
-        .when(rule == 7, F.concat(F.lit("Answer: "), whole))
+    changed = (
+        record_of_part()
+        .withField("stage", F.when(rule == 1, "changed").otherwise(F.col("p_size").cast("string")))
+        .withField("response", F.when((rule != 2) & (F.col("p_partkey") % 7 != 0), 'stable "disease"'))
+    )
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), rule.alias("rule"), changed.alias("record")
+    )
+    whole = F.col("whole")
+    return rows.withColumn("whole", dumps_record(F.col("record"))).select(
+        "id",
+        F.when(F.col("rule") == 3, F.concat(F.lit('{"other": 1, '), F.substr(whole, F.lit(2))))
+        .when(F.col("rule") == 4, dumps_record(F.col("record"), RECORD_FIELDS[:-1]))
+        .when(F.col("rule") == 5, dumps_record(F.col("record"), RECORD_FIELDS[::-1]))
+        .when(F.col("rule") == 6, F.lit(None).cast("string"))
+        .when(F.col("rule") == 7, F.concat(F.lit("Answer: "), whole))
         .otherwise(whole)
         .alias("predicted_json"),
     )

@@ -134,35 +134,36 @@ def select_fields(df: DataFrame, record: str, fields: list[str] = RECORD_FIELDS)
     return df.select(*others, *[F.col(record)[f].alias(f) for f in fields])
 
 
-def _lower_control_escapes(literal: Column) -> Column:
-    # Python writes \u001f where Jackson writes \u001F; an escaped backslash before it is text.
-    for code in range(0x20):
-        lower = f"{code:04x}"
-        if lower != lower.upper():
-            pattern = rf"(?<!\\)((?:\\\\)*)\\u{lower.upper()}"
-            literal = F.regexp_replace(literal, pattern, rf"$1\\u{lower}")
-    return literal
+def _lower_control_escapes(text: Column) -> Column:
+    """``\\u001f`` where Jackson writes ``\\u001F``; after an escaped backslash it is plain text."""
+    codes = [f"{c:04X}" for c in range(0x20) if not f"{c:04x}".isdigit()]
 
+    def lower_one(done: Column, code: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?<!\\)((?:\\\\)*)\\u"), code)
+        return F.regexp_replace(done, pattern, F.concat(F.lit(r"$1\\u"), F.lower(code)))
 
-def json_literal(value: Column) -> Column:
-    """One string as a JSON literal, ``null`` for null; non-ASCII characters stay as they are."""
-    listed = F.to_json(F.array(value))
-    literal = F.substr(listed, F.lit(2), F.length(listed) - 2)
-    has_control = F.coalesce(F.rlike(value, F.lit(r"[\x00-\x1f]")), F.lit(False))
-    return F.when(has_control, _lower_control_escapes(literal)).otherwise(literal)
+    return F.when(
+        F.contains(text, F.lit(r"\u00")),
+        F.aggregate(F.array(*[F.lit(c) for c in codes]), text, lower_one),
+    ).otherwise(text)
 
 
 def dumps_record(record: Column, fields: list[str] = RECORD_FIELDS) -> Column:
     """A record as ``json.dumps(record, ensure_ascii=False)`` writes it.
 
-    Separators are ``", "`` and ``": "``, nulls are written, fields keep their order.
+    Separators are ``", "`` and ``": "``, nulls are written, fields keep their order, non-ASCII
+    characters stay as they are. A quote inside a value is always escaped, so ``,"field":`` can only
+    be a separator and its key, and spaces are put in there by plain replacement.
     """
-    members = [
-        F.concat(F.lit(json.dumps(f, ensure_ascii=False) + ": "), json_literal(record[f]))
-        for f in fields
-    ]
-    body = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
-    return F.when(record.isNull(), F.lit("null")).otherwise(body)
+    text = F.to_json(
+        F.struct(*[record[f].alias(f) for f in fields]), {"ignoreNullFields": "false"}
+    )
+    for number, field in enumerate(fields):
+        key = json.dumps(field, ensure_ascii=False) + ":"
+        compact, spaced = ("{" + key, "{" + key + " ") if number == 0 else ("," + key, ", " + key + " ")
+        text = F.replace(text, F.lit(compact), F.lit(spaced))
+    text = F.get(F.transform(F.array(text), _lower_control_escapes), F.lit(0))
+    return F.when(record.isNull(), F.lit("null")).otherwise(text)
 
 
 def stripped_blank(text: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunelake.constants import GENERATION_PARAMS
 
@@ -54,7 +55,7 @@ def batch_infer(
                     raise ValueError("the model must give one output for each prompt")
                 yield part.assign(full_output=outputs)
 
-    schema = rows.schema.add("full_output", "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("full_output", T.StringType())])
     return rows.mapInPandas(run, schema)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -66,3 +68,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="tunelake-"), name)
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)

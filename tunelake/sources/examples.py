@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +20,18 @@ _KEYS = ["instruction", "input", "output"]
 
 
 def parse_example_lines(
-    lines: DataFrame, line: str = "value", fields: list[str] = RECORD_FIELDS
+    lines: DataFrame,
+    line: str = "value",
+    fields: list[str] = RECORD_FIELDS,
+    counts_name: str | None = None,
 ) -> DataFrame:
     """Add ``instruction, input, output, reason`` to text lines; ``reason`` is null for good ones.
 
     Reasons: ``blank``; ``malformed`` (not exactly one JSON value); ``not_object``;
     ``missing_key`` (one of the three keys is absent; a null value is allowed);
     ``output_not_object`` (the answer is neither an object nor null).
-    Line and reject counts are reported as the observed metrics ``example_lines``.
+    ``lines`` and ``rejected`` are counted as observed metrics under ``counts_name``, which must
+    differ between inputs that meet in one plan (a new name by default).
     """
     example_type = f"struct<instruction: string, input: string, output: {record_type(fields)}>"
     text = "_line"
@@ -53,7 +59,7 @@ def parse_example_lines(
     )
     # The observed counts also keep later filters above the parse, so a line is parsed once.
     return out.observe(
-        "example_lines",
+        counts_name or f"example_lines_{uuid.uuid4().hex}",
         F.count(F.lit(1)).alias("lines"),
         F.count_if(F.col("reason").isNotNull()).alias("rejected"),
     )
@@ -86,13 +92,15 @@ def read_examples(
     path: str | list[str],
     fields: list[str] = RECORD_FIELDS,
     mode: str = "quarantine",
+    counts_name: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Read JSON-lines files: ``(good, rejects)``, both with the file each line came from.
 
     A distributed scan has no line numbers; a rejected line is kept whole with its file and reason.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    return split_examples(parse_example_lines(lines, "value", fields), "value", mode)
+    parsed = parse_example_lines(lines, "value", fields, counts_name)
+    return split_examples(parsed, "value", mode)
 
 
 def load_splits(splits: dict[str, DataFrame]) -> DataFrame:

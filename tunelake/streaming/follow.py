@@ -49,9 +49,14 @@ def stream_errors(
 ) -> DataFrame:
     """Errors per time bin; a bin is final once an error ``late_by`` after its end was seen.
 
-    Rows that come later than that are dropped. The watermark follows the matching rows.
+    Rows that come later than that are dropped. The watermark follows the matching rows. Times
+    without a zone are read in the session's zone, as watermarks need one.
     """
-    found = search_log(log, term, message=message).withWatermark(time, late_by)
+    found = (
+        search_log(log, term, message=message)
+        .withColumn(time, F.col(time).cast("timestamp"))
+        .withWatermark(time, late_by)
+    )
     return error_rate(found, every, term, message, time)
 
 
