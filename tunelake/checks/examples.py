@@ -11,7 +11,7 @@ from tunelake.functions.strict_json import check_record_schema, dumps_record, se
 from tunelake.functions.templates import chat_prompt, format_training_text, inference_prompt
 from tunelake.operators import dataset as D
 from tunelake.operators import tokens as T
-from tunelake.plans.training import prepare_training_table
+from tunelake.plans.training import prepare_training_table, training_batches
 from tunelake.session import new_folder
 from tunelake.sources.examples import load_splits, parse_example_lines, read_examples
 
@@ -226,7 +226,7 @@ def _collated(spark, sf, **options):
     tokenised = T.tokenize(
         X.table(spark, sf, "documents").select("doc_id", "text"), T.character_ids(F.col("text"))
     )
-    return T.collate(tokenised, "doc_id", pad_id=32, **options)
+    return training_batches(tokenised, "doc_id", pad_id=32, **options)
 
 
 @query("collate_batches", f"""with {_BATCHES}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.constants import EVAL_LOSS, TRAIN_LOSS
-from tunelake.operators.series import BLOCK_STEPS, column_name, first_values, step_block
+from tunelake.operators.series import BLOCK_STEPS, column_name, first_values, in_blocks
 
 
 def train_eval_gap(
@@ -25,9 +25,7 @@ def train_eval_gap(
     """
     train, evaluated = column_name(train_tag), column_name(eval_tag)
     steps = first_values(
-        metrics.withColumn("block", step_block(block_steps)),
-        [train_tag, eval_tag],
-        ["run", "block", "step"],
+        in_blocks(metrics, block_steps), [train_tag, eval_tag], ["run", "block", "step"]
     )
     train_step = F.when(F.col(train).isNotNull(), F.col("step"))
     point = F.when(
@@ -123,7 +121,7 @@ def overfit_flags(
     ``overfitting``: since the evaluation before, training loss fell and evaluation loss rose (false
     at the first one). ``gap_on_target`` and ``train_on_target`` compare with the given limits.
     """
-    rows = gap.withColumn("block", step_block(block_steps))
+    rows = in_blocks(gap, block_steps)
     ends = rows.groupBy("run", "block").agg(
         F.max_by("train_loss", "step").alias("t"), F.max_by("eval_loss", "step").alias("e")
     )

@@ -20,13 +20,12 @@ def rank_in_groups(
 
     ``group`` and ``order`` together should be unique; rows equal in all of them are numbered in any
     order. Runs one job that writes the ordered rows to the shared folder, because the numbers must
-    not change when a lost task is run again.
+    not change when a lost task is run again. The number of partitions is left to adaptive execution
+    (``spark.sql.adaptive.coalescePartitions.initialPartitionNum``), which joins neighbours only.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group, *order]
     placed = written(
-        df.repartitionByRange(partitions, *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_chunk", F.shiftright("_place", 33)),
@@ -45,7 +44,9 @@ def rank_in_groups(
         chunks.withColumn(
             "_shift",
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first"),
-        ).select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_chunk").alias("_g_chunk"), "_shift"),
+        ).select(
+            *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_chunk").alias("_g_chunk"), "_shift"
+        ),
         "offsets",
     )
     same = F.col("_chunk") == F.col("_g_chunk")

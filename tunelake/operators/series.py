@@ -21,9 +21,16 @@ def column_name(tag: str) -> str:
     return tag.replace("/", "_")
 
 
-def step_block(block_steps: int) -> Column:
-    """Number of the block a step lies in; never falls as the step grows."""
-    return F.floor(F.col("step") / F.lit(block_steps)).cast("bigint")
+def in_blocks(rows: DataFrame, block_steps: int) -> DataFrame:
+    """Add ``block``, which never falls as the step grows; rows without run or step belong to no series.
+
+    The null test stands here, and not in the joins by block, so that both sides of such a join are
+    one and the same plan up to their first shuffle and the shuffle is run once for both.
+    """
+    block = F.floor(F.col("step") / F.lit(block_steps)).cast("bigint")
+    return rows.withColumn("block", block).filter(
+        F.col("run").isNotNull() & F.col("block").isNotNull()
+    )
 
 
 def filter_tags(metrics: DataFrame, keep: list[str] = CORE_TAGS) -> DataFrame:
@@ -89,9 +96,9 @@ def running_best(
     metrics: DataFrame, tag: str = EVAL_LOSS, block_steps: int = BLOCK_STEPS
 ) -> DataFrame:
     """Lowest value so far at every step of a series, and whether the step set it."""
-    series = first_per_step(filter_tags(metrics, [tag])).select(
-        "run", "step", "value", step_block(block_steps).alias("block")
-    )
+    series = first_values(
+        in_blocks(metrics, block_steps), [tag], ["run", "block", "step"]
+    ).withColumnRenamed(column_name(tag), "value")
     inside = Window.partitionBy("run", "block").orderBy("step")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     earlier_blocks = (

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tunelake.constants import RECORD_FIELDS
 from tunelake.functions.templates import format_training_text
-from tunelake.operators.tokens import tokenize
+from tunelake.operators.tokens import collate, tokenize
+from tunelake.session import written
 from tunelake.sources.examples import load_splits, read_examples
 
 
@@ -31,3 +32,14 @@ def prepare_training_table(
         good[split], rejected[split] = read_examples(spark, path, fields)
     texts = training_texts(load_splits(good), fields)
     return tokenize(texts, ids, max_len), load_splits(rejected)
+
+
+def training_batches(
+    tokenised: DataFrame, key: str, pad_id: int, batch_size: int = 4, sort_by_length: bool = False
+) -> DataFrame:
+    """Padded batches of a tokenised table that is not stored yet.
+
+    Batching reads lengths first and tokens later, so the tokens are written once between the two
+    rather than made twice. A table read from storage goes to ``collate`` as it is.
+    """
+    return collate(written(tokenised, "tokens"), key, pad_id, batch_size, sort_by_length)

@@ -44,15 +44,17 @@ def parse_example_lines(
         some_null = some_null | example[key].isNull()
     present = F.json_object_keys(text)
     some_absent = F.size(F.array_except(F.array(*[F.lit(k) for k in _KEYS]), present)) > 0
+    # A value of the wrong type is read as null; what stands in the text tells it from a real null.
+    lost_output = example["output"].isNull() & F.get_json_object(text, "$.output").isNotNull()
     reason = (
         F.when(stripped_blank(F.col(text)), "blank")
         .when(
-            example.isNull(),
-            F.when(~is_json(F.col(text)), "malformed")
-            .when(~F.startswith(F.col(text), F.lit("{")), "not_object")
-            .otherwise("output_not_object"),
+            example.isNull(), F.when(is_json(F.col(text)), "not_object").otherwise("malformed")
+        )
+        .when(
+            some_null,
+            F.when(some_absent, "missing_key").when(lost_output, "output_not_object"),
         )
-        .when(some_null, F.when(some_absent, "missing_key"))
     )
     out = parsed.withColumn("reason", reason).select(
         *lines.columns, *[example[k].alias(k) for k in _KEYS], "reason"
