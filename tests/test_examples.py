@@ -111,8 +111,8 @@ def _pad(ids, width, pad):
 def test_collate_equals_python(make, by_length):
     lists = [list(range(1, 1 + (7 * i) % 11)) for i in range(23)]
     data = make(
-        [(i, ids, [1] * len(ids)) for i, ids in enumerate(lists)],
-        "id int, input_ids array<int>, attention_mask array<int>",
+        [(i, ids, [1] * len(ids), len(ids)) for i, ids in enumerate(lists)],
+        "id int, input_ids array<int>, attention_mask array<int>, length int",
     )
     got = {r["id"]: r for r in training_batches(data, "id", pad_id=2, sort_by_length=by_length).collect()}
     assert len(got) == 23

@@ -9,7 +9,7 @@ from tunelake.checks.metrics import M
 from tunelake.checks.registry import query
 from tunelake.functions.paths import checkpoint_step, run_started_at
 from tunelake.operators import catalog as C
-from tunelake.session import new_folder
+from tunelake.session import new_folder, written
 from tunelake.sources.artifacts import (
     artifact_manifest,
     exclude_paths,
@@ -43,12 +43,22 @@ runs as (
 """
 
 
+def _listing(spark, sf):
+    """The artifacts as a stored listing."""
+    return written(X.artifacts(spark, sf), "listing")
+
+
 def _runs(spark, sf):
-    return list_runs(X.artifacts(spark, sf), X.BASE)
+    return list_runs(_listing(spark, sf), X.BASE)
 
 
 def _inside(spark, sf):
-    return with_run(X.artifacts(spark, sf), X.BASE)
+    return with_run(_listing(spark, sf), X.BASE)
+
+
+def _runs_and_inside(spark, sf):
+    listing = _listing(spark, sf)
+    return list_runs(listing, X.BASE), with_run(listing, X.BASE)
 
 
 @query("list_runs", f"""with {ART}
@@ -72,7 +82,7 @@ def started_at(spark, sf):
 @query("runs_with_logs", f"""with {ART}
 select run, formatted_date from runs where run in (select run from inr where inside like 'logs/%')""")
 def with_logs(spark, sf):
-    return C.runs_with_logs(_runs(spark, sf), _inside(spark, sf)).select("run", "formatted_date")
+    return C.runs_with_logs(*_runs_and_inside(spark, sf)).select("run", "formatted_date")
 
 
 @query("latest_run", f"""with {ART}
@@ -141,7 +151,7 @@ select run, missing_file from runs,
   (values ('adapter_config.json'), ('adapter_model.safetensors')) q(missing_file)
 where not exists (select 1 from inr where inr.run = runs.run and inside = 'final_model/' || missing_file)""")
 def missing_files(spark, sf):
-    return C.missing_required_files(_runs(spark, sf), _inside(spark, sf))
+    return C.missing_required_files(*_runs_and_inside(spark, sf))
 
 
 @query("cleanup_plan", f"""with {ART}

@@ -201,7 +201,7 @@ def tokenize_characters(spark, sf):
         "doc_id",
         "n_tokens",
         "was_truncated",
-        F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("kept"),
+        F.size(F.array_remove("attention_mask", 0)).alias("kept"),
         F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("id_sum"),
         F.element_at("input_ids", 1).alias("first_id"),
         F.element_at("input_ids", -1).alias("last_id"),
@@ -242,9 +242,9 @@ def collate_batches(spark, sf):
         "batch_length",
         "n_padding",
         F.size("input_ids").alias("width"),
-        F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("mask_sum"),
+        F.size(F.array_remove("attention_mask", 0)).alias("mask_sum"),
         F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("id_sum"),
-        F.size(F.filter("labels", lambda x: x == -100)).alias("ignored"),
+        (F.size("labels") - F.size(F.array_remove("labels", -100))).alias("ignored"),
     )
 
 

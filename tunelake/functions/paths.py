@@ -10,9 +10,10 @@ _RUN_NAME = r"^\d{8}_\d{6}$"
 
 def run_started_at(name: Column) -> Column:
     """Time in a run name ``YYYYMMDD_HHMMSS``; null where the name is not such a time."""
-    return F.when(
-        F.rlike(name, F.lit(_RUN_NAME)), F.try_to_timestamp(name, F.lit("yyyyMMdd_HHmmss"))
-    )
+    date = F.concat_ws("-", *[F.substring(name, at, n) for at, n in ((1, 4), (5, 2), (7, 2))])
+    time = F.concat_ws(":", *[F.substring(name, at, 2) for at in (10, 12, 14)])
+    spelled_out = F.concat(date, F.lit(" "), time)
+    return F.when(F.rlike(name, F.lit(_RUN_NAME)), spelled_out.try_cast("timestamp"))
 
 
 def checkpoint_step(path: Column) -> Column:

@@ -148,12 +148,10 @@ def _lower_control_escapes(text: Column) -> Column:
     ).otherwise(text)
 
 
-def dumps_record(record: Column, fields: list[str] = RECORD_FIELDS) -> Column:
-    """A record as ``json.dumps(record, ensure_ascii=False)`` writes it.
+def _dumped_with_controls(record: Column, fields: list[str]) -> Column:
+    """Any record, by Spark's own writer, with Python's spacing and lower-case escapes.
 
-    Separators are ``", "`` and ``": "``, nulls are written, fields keep their order, non-ASCII
-    characters stay as they are. A quote inside a value is always escaped, so ``,"field":`` can only
-    be a separator and its key, and spaces are put in there by plain replacement.
+    A quote inside a value is always escaped, so ``,"field":`` can only be a separator and its key.
     """
     text = F.to_json(
         F.struct(*[record[f].alias(f) for f in fields]), {"ignoreNullFields": "false"}
@@ -162,8 +160,31 @@ def dumps_record(record: Column, fields: list[str] = RECORD_FIELDS) -> Column:
         key = json.dumps(field, ensure_ascii=False) + ":"
         compact, spaced = ("{" + key, "{" + key + " ") if number == 0 else ("," + key, ", " + key + " ")
         text = F.replace(text, F.lit(compact), F.lit(spaced))
-    text = F.get(F.transform(F.array(text), _lower_control_escapes), F.lit(0))
-    return F.when(record.isNull(), F.lit("null")).otherwise(text)
+    return F.get(F.transform(F.array(text), _lower_control_escapes), F.lit(0))
+
+
+def _quoted(value: Column) -> Column:
+    escaped = F.replace(
+        F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')
+    )
+    return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("null"))
+
+
+def dumps_record(record: Column, fields: list[str] = RECORD_FIELDS) -> Column:
+    """A record as ``json.dumps(record, ensure_ascii=False)`` writes it.
+
+    Separators are ``", "`` and ``": "``, nulls are written, fields keep their order, non-ASCII
+    characters stay as they are. Records without control characters, nearly all, take a short way.
+    """
+    members = [
+        F.concat(F.lit(json.dumps(f, ensure_ascii=False) + ": "), _quoted(record[f])) for f in fields
+    ]
+    plain = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    return (
+        F.when(record.isNull(), F.lit("null"))
+        .when(F.rlike(plain, F.lit(r"[\x00-\x1f]")), _dumped_with_controls(record, fields))
+        .otherwise(plain)
+    )
 
 
 def stripped_blank(text: Column) -> Column:

@@ -52,18 +52,19 @@ def tokenize(
     max_len: int = 2048,
     text: str = "text",
 ) -> DataFrame:
-    """Replace the text by ``input_ids, attention_mask, n_tokens, was_truncated``; no padding.
+    """Replace the text by ``input_ids, attention_mask, n_tokens, length, was_truncated``; no padding.
 
-    The whole text is tokenised; ``n_tokens`` counts before truncation to ``max_len``. ``ids`` is one
-    of the id expressions above (words by default).
+    The whole text is tokenised; ``n_tokens`` counts before truncation to ``max_len`` and ``length``
+    after it. ``ids`` is one of the id expressions above (words by default).
     """
     tokenised = df.withColumn("_ids", word_ids(F.col(text)) if ids is None else ids)
     n = F.size("_ids")
     return (
         tokenised.withColumn("n_tokens", n)
+        .withColumn("length", F.least(n, F.lit(max_len)))
         .withColumn("was_truncated", n > max_len)
         .withColumn("input_ids", F.slice("_ids", 1, max_len))
-        .withColumn("attention_mask", F.array_repeat(F.lit(1), F.least(n, F.lit(max_len))))
+        .withColumn("attention_mask", F.array_repeat(F.lit(1), F.col("length")))
         .drop("_ids", text)
     )
 
@@ -93,32 +94,28 @@ def collate(
     Every example is padded on the right to the longest of its batch; the mask is 0 on padding, and
     labels are the ids with every pad id (also one inside the text, where pad and end mark are the
     same) replaced by the ignored label. ``sort_by_length`` batches examples of like length, which
-    wastes less padding. ``key`` must be unique. Only keys and lengths are ordered; the token
-    columns move once, to meet their batch.
+    wastes less padding. ``key`` must be unique. Only keys and lengths are read and ordered for the
+    batches; the token columns move once, to meet their batch.
     """
-    lengths = tokenised.select(key, F.size("input_ids").alias("_length"))
-    order = ["_length", key] if sort_by_length else [key]
-    batches = batch_rows(lengths, order, "_length", batch_size)
-    padding = F.col("batch_length") - F.col("_length")
-    padded = F.concat("input_ids", F.array_repeat(F.lit(pad_id), padding))
-    return (
-        tokenised.join(batches, key)
-        .withColumns(
-            {
-                "input_ids": padded,
-                "attention_mask": F.concat(
-                    "attention_mask", F.array_repeat(F.lit(0), padding)
-                ),
-                "n_padding": padding,
-            }
-        )
-        .withColumn(
-            "labels",
-            F.transform(
-                "input_ids", lambda t: F.when(t == pad_id, F.lit(IGNORED_LABEL)).otherwise(t)
-            ),
-        )
-        .drop("_length")
+    order = ["length", key] if sort_by_length else [key]
+    batches = batch_rows(tokenised.select(key, "length"), order, "length", batch_size).drop("length")
+    padding = F.col("batch_length") - F.col("length")
+    masked = F.transform(
+        "input_ids", lambda t: F.when(t == pad_id, F.lit(IGNORED_LABEL)).otherwise(t)
+    )
+    # The ids are looked through one by one only where the text itself holds the pad id.
+    labels = F.when(F.array_contains("input_ids", pad_id), masked).otherwise(F.col("input_ids"))
+
+    def pad(column: Column, value: int) -> Column:
+        return F.concat(column, F.array_repeat(F.lit(value), padding))
+
+    return tokenised.join(batches, key).withColumns(
+        {
+            "labels": pad(labels, IGNORED_LABEL),
+            "input_ids": pad(F.col("input_ids"), pad_id),
+            "attention_mask": pad(F.col("attention_mask"), 0),
+            "n_padding": padding,
+        }
     )
 
 
