@@ -107,14 +107,17 @@ def _pad(ids, width, pad):
     return ids + [pad] * (width - len(ids))
 
 
+@pytest.mark.parametrize("limit", [0, 100])
 @pytest.mark.parametrize("by_length", [False, True])
-def test_collate_equals_python(make, by_length):
+def test_collate_equals_python(make, by_length, limit):
     lists = [list(range(1, 1 + (7 * i) % 11)) for i in range(23)]
     data = make(
         [(i, ids, [1] * len(ids), len(ids)) for i, ids in enumerate(lists)],
         "id int, input_ids array<int>, attention_mask array<int>, length int",
     )
-    got = {r["id"]: r for r in training_batches(data, "id", pad_id=2, sort_by_length=by_length).collect()}
+    got = {r["id"]: r for r in training_batches(
+        data, "id", pad_id=2, sort_by_length=by_length, max_group_rows=limit
+    ).collect()}
     assert len(got) == 23
     order = sorted(range(23), key=lambda i: (len(lists[i]), i)) if by_length else list(range(23))
     for place, i in enumerate(order):

@@ -261,7 +261,7 @@ def padding_waste(spark, sf):
   select *, (row_number() over (order by kept, doc_id) - 1) // 4 as batch_id from tok)
 select doc_id, batch_id, max(kept) over (partition by batch_id)::int as batch_length from numbered""")
 def collate_by_length(spark, sf):
-    return _collated(spark, sf, sort_by_length=True).select("doc_id", "batch_id", "batch_length")
+    return _collated(spark, sf, sort_by_length=True, max_group_rows=0).select("doc_id", "batch_id", "batch_length")
 
 
 @query("training_table", f"""with {REC}, texts as (

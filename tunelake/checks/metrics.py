@@ -81,6 +81,12 @@ def series_order(spark, sf):
     return S.series_order(_kept(spark, sf).drop("wall_time"))
 
 
+@query("series_order_spread", f"with {M} select run, tag, step, value, ord, up as rn from a")
+def series_order_spread(spark, sf):
+    """The way taken when a series is too large for one task."""
+    return S.series_order(_kept(spark, sf).drop("wall_time"), max_group_rows=0)
+
+
 @query("first_per_step", f"with {M} select run, tag, step, value, round(wall_time, 3) as wall_time, ord from f")
 def first_per_step(spark, sf):
     return S.first_per_step(_kept(spark, sf)).withColumn("wall_time", F.round("wall_time", 3))

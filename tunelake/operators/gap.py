@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.constants import EVAL_LOSS, TRAIN_LOSS
 from tunelake.operators.series import BLOCK_STEPS, column_name, first_values, in_blocks
 
 
+def _next_known(value: str, group: str, order: str) -> Column:
+    """The next value after a row that is not null; shares the sort of what looks back.
+
+    A frame that reaches forward to the end would be read again for every row.
+    """
+    return F.expr(f"lead({value}) ignore nulls over (partition by {group} order by {order})")
+
+
 def train_eval_gap(
     metrics: DataFrame,
     min_step: int = 100,
@@ -40,31 +48,34 @@ def train_eval_gap(
         F.min_by(train, train_step).alias("first_v"),
         F.count(evaluated).alias("evaluations"),
     )
-    up = Window.partitionBy("run").orderBy("block")
-    down = Window.partitionBy("run").orderBy(F.desc("block"))
-    earlier = up.rowsBetween(Window.unboundedPreceding, -1)
-    later = down.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy("run").orderBy("block")
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         ends.withColumns(
             {
                 "before_s": F.last("last_s", ignorenulls=True).over(earlier),
                 "before_v": F.last("last_v", ignorenulls=True).over(earlier),
-                "after_s": F.last("first_s", ignorenulls=True).over(later),
-                "after_v": F.last("first_v", ignorenulls=True).over(later),
+                "after_s": _next_known("first_s", "run", "block"),
+                "after_v": _next_known("first_v", "run", "block"),
             }
         )
         .filter(F.col("evaluations") > 0)
         .select("run", "block", "before_s", "before_v", "after_s", "after_v")
     )
 
-    # The next point is found by a second pass in falling order: a frame that reaches forward to the
-    # end would be read again for every row.
-    inside = Window.partitionBy("run", "block")
-    rising = inside.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    falling = inside.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = (
+        Window.partitionBy("run", "block")
+        .orderBy("step")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     around = (
-        steps.withColumn("lo", F.last(point, ignorenulls=True).over(rising))
-        .withColumn("hi", F.last(point, ignorenulls=True).over(falling))
+        steps.withColumn("point", point)
+        .withColumns(
+            {
+                "lo": F.last("point", ignorenulls=True).over(so_far),
+                "hi": F.coalesce(F.col("point"), _next_known("point", "run, block", "step")),
+            }
+        )
         .filter(F.col(evaluated).isNotNull() & (F.col("step") >= min_step))
         .join(carried, ["run", "block"])
     )

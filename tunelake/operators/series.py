@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.constants import CORE_TAGS, EVAL_LOSS
-from tunelake.operators.ranking import rank_in_groups
+from tunelake.operators.ranking import MAX_GROUP_ROWS, rank_in_groups
 
 BLOCK_STEPS = 1 << 18
 
@@ -43,9 +43,9 @@ def filter_eval_warmup(metrics: DataFrame, min_step: int = 100, tag: str = EVAL_
     return metrics.filter((F.col("tag") != tag) | (F.col("step") >= min_step))
 
 
-def series_order(metrics: DataFrame) -> DataFrame:
+def series_order(metrics: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``rn``, the place of a row in its series by step; file order settles equal steps."""
-    return rank_in_groups(metrics, ["run", "tag"], ["step", "ord"], "rn")
+    return rank_in_groups(metrics, ["run", "tag"], ["step", "ord"], "rn", max_group_rows)
 
 
 def first_per_step(metrics: DataFrame) -> DataFrame:

@@ -8,17 +8,51 @@ from pyspark.sql import functions as F
 from tunelake.constants import EPOCH, EVAL_LOSS, LEARNING_RATE
 from tunelake.operators.series import filter_tags
 
-_PLACE = ["step", "ord"]
+# A place within a block of steps: the low bits of the step, then the place in what was read.
+_STEP_BITS = 14
+_ORD_BITS = 49
+
+
+def _series_facts(metrics: DataFrame) -> DataFrame:
+    """First and final value, extremes, sum and number of values of every series.
+
+    First and final go by step and then by place read. Within a block of steps both fit in one whole
+    number, so each level keeps plain numbers and stays a hash aggregation; ordering by a struct
+    would sort the table. A place outside the range fails the job.
+    """
+    fits = F.col("ord").between(0, (1 << _ORD_BITS) - 1)
+    offset = F.col("step").bitwiseAND(F.lit((1 << _STEP_BITS) - 1))
+    place = F.when(
+        fits, F.shiftleft(offset, _ORD_BITS).bitwiseOR(F.col("ord"))
+    ).otherwise(F.raise_error(F.lit("ord out of range")).cast("bigint"))
+    blocks = (
+        metrics.select(
+            "run", "tag", "value", F.shiftright("step", _STEP_BITS).alias("block"), place.alias("place")
+        )
+        .groupBy("run", "tag", "block")
+        .agg(
+            F.min_by("value", "place").alias("first"),
+            F.max_by("value", "place").alias("final"),
+            F.min("value").alias("lowest"),
+            F.max("value").alias("highest"),
+            F.sum("value").alias("total"),
+            F.count("value").alias("counted"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+    )
+    return blocks.groupBy("run", "tag").agg(
+        F.min_by("first", "block").alias("first_value"),
+        F.max_by("final", "block").alias("final_value"),
+        F.min("lowest").alias("min_value"),
+        F.max("highest").alias("max_value"),
+        F.try_divide(F.sum("total"), F.sum("counted")).alias("mean_value"),
+        F.sum("rows").alias("rows"),
+    )
 
 
 def summarise_metrics(metrics: DataFrame) -> DataFrame:
     """Final value (the last one read at the last step), minimum, maximum and mean of every series."""
-    return metrics.groupBy("run", "tag").agg(
-        F.max_by("value", F.struct(*_PLACE)).alias("final_value"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.avg("value").alias("mean_value"),
-    )
+    return _series_facts(metrics).drop("first_value", "rows")
 
 
 def improvement_pct(metrics: DataFrame) -> DataFrame:
@@ -26,20 +60,11 @@ def improvement_pct(metrics: DataFrame) -> DataFrame:
 
     Tags with ``loss`` in their name and more than one value; null where the first value is zero.
     """
+    fell = F.try_divide(F.col("first_value") - F.col("final_value"), F.col("first_value"))
     return (
-        metrics.filter(F.contains(F.lower("tag"), F.lit("loss")))
-        .groupBy("run", "tag")
-        .agg(
-            F.min_by("value", F.struct(*_PLACE)).alias("first_value"),
-            F.max_by("value", F.struct(*_PLACE)).alias("final_value"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        .filter(F.col("_rows") > 1)
-        .withColumn(
-            "improvement_pct",
-            F.try_divide(F.col("first_value") - F.col("final_value"), F.col("first_value")) * 100,
-        )
-        .drop("_rows")
+        _series_facts(metrics.filter(F.contains(F.lower("tag"), F.lit("loss"))))
+        .filter(F.col("rows") > 1)
+        .select("run", "tag", "first_value", "final_value", (fell * 100).alias("improvement_pct"))
     )
 
 
@@ -48,7 +73,7 @@ def argmin_metric(metrics: DataFrame) -> DataFrame:
     return (
         metrics.filter(F.col("value").isNotNull())
         .groupBy("run", "tag")
-        .agg(F.min(F.struct("value", *_PLACE)).alias("_m"))
+        .agg(F.min(F.struct("value", "step", "ord")).alias("_m"))
         .select(
             "run", "tag", F.col("_m.value").alias("min_value"), F.col("_m.step").alias("min_step")
         )
@@ -58,14 +83,13 @@ def argmin_metric(metrics: DataFrame) -> DataFrame:
 def peak_and_final(metrics: DataFrame) -> DataFrame:
     """Peak and final learning rate and final epoch of every run."""
     rate, epoch = F.col("tag") == LEARNING_RATE, F.col("tag") == EPOCH
-    place = F.struct(*_PLACE)
     return (
-        filter_tags(metrics, [LEARNING_RATE, EPOCH])
+        _series_facts(filter_tags(metrics, [LEARNING_RATE, EPOCH]))
         .groupBy("run")
         .agg(
-            F.max(F.when(rate, F.col("value"))).alias("peak_learning_rate"),
-            F.max_by("value", F.when(rate, place)).alias("final_learning_rate"),
-            F.max_by("value", F.when(epoch, place)).alias("final_epoch"),
+            F.max(F.when(rate, F.col("max_value"))).alias("peak_learning_rate"),
+            F.max(F.when(rate, F.col("final_value"))).alias("final_learning_rate"),
+            F.max(F.when(epoch, F.col("final_value"))).alias("final_epoch"),
         )
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tunelake.constants import IGNORED_LABEL
 from tunelake.functions.text import strip
-from tunelake.operators.ranking import rank_in_groups
+from tunelake.operators.ranking import MAX_GROUP_ROWS, rank_in_groups
 
 # texts in, one list of token ids for each text out
 Encode = Callable[[list[str]], list[list[int]]]
@@ -70,10 +70,14 @@ def tokenize(
 
 
 def batch_rows(
-    lengths: DataFrame, order: list[str], length: str, batch_size: int = 4
+    lengths: DataFrame,
+    order: list[str],
+    length: str,
+    batch_size: int = 4,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Consecutive batches of narrow rows: adds ``batch_id`` and ``batch_length`` (longest member)."""
-    numbered = rank_in_groups(lengths, [], order, "_rn")
+    numbered = rank_in_groups(lengths, [], order, "_rn", max_group_rows)
     in_batch = Window.partitionBy("batch_id")
     return (
         numbered.withColumn("batch_id", F.floor((F.col("_rn") - 1) / batch_size).cast("bigint"))
@@ -88,6 +92,7 @@ def collate(
     pad_id: int,
     batch_size: int = 4,
     sort_by_length: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Padded batches of tokenised examples, in key order.
 
@@ -98,7 +103,9 @@ def collate(
     batches; the token columns move once, to meet their batch.
     """
     order = ["length", key] if sort_by_length else [key]
-    batches = batch_rows(tokenised.select(key, "length"), order, "length", batch_size).drop("length")
+    batches = batch_rows(
+        tokenised.select(key, "length"), order, "length", batch_size, max_group_rows
+    ).drop("length")
     padding = F.col("batch_length") - F.col("length")
     masked = F.transform(
         "input_ids", lambda t: F.when(t == pad_id, F.lit(IGNORED_LABEL)).otherwise(t)

@@ -35,11 +35,11 @@ def prepare_training_table(
 
 
 def training_batches(
-    tokenised: DataFrame, key: str, pad_id: int, batch_size: int = 4, sort_by_length: bool = False
+    tokenised: DataFrame, key: str, pad_id: int, batch_size: int = 4, **options
 ) -> DataFrame:
     """Padded batches of a tokenised table that is not stored yet.
 
     Batching reads lengths first and tokens later, so the tokens are written once between the two
     rather than made twice. A table read from storage goes to ``collate`` as it is.
     """
-    return collate(written(tokenised, "tokens"), key, pad_id, batch_size, sort_by_length)
+    return collate(written(tokenised, "tokens"), key, pad_id, batch_size, **options)

@@ -32,8 +32,9 @@ _CONSOLE_SCHEMA = (
     "step bigint"
 )
 
-# Sources of a merged series each get this many places.
-_ORD_PER_SOURCE = 1 << 48
+# Sources of a merged series each get this many places; all places stay below 2**49.
+_ORD_PER_SOURCE = 1 << 42
+_MAX_SOURCES = 1 << 7
 
 
 def read_metric_events(spark: SparkSession, path: str | list[str], format: str = "parquet") -> DataFrame:
@@ -106,11 +107,11 @@ def explode_metrics_map(log: DataFrame, keep: list[str], metrics: str = "metrics
 def merge_metric_sources(*sources: DataFrame) -> DataFrame:
     """Several event files of one run as one series; rows of an earlier source come first.
 
-    ``ord`` is renumbered so that it stays unique: a source may hold 2**48 places, and the job fails
+    ``ord`` is renumbered so that it stays unique: a source may hold 2**42 places, and the job fails
     beyond that rather than mixing two sources up.
     """
-    if not sources:
-        raise ValueError("no source given")
+    if not 0 < len(sources) <= _MAX_SOURCES:
+        raise ValueError(f"between 1 and {_MAX_SOURCES} sources can be merged")
     out = None
     for number, source in enumerate(sources):
         fits = (F.col("ord") >= 0) & (F.col("ord") < _ORD_PER_SOURCE)
