@@ -9,8 +9,8 @@ from tunelake.sources.metrics import METRICS_SCHEMA
 from tunelake.streaming import follow as S
 
 LINES = [
-    "2025-11-10 12:00:01 | INFO     | src.train:main:12 - Loading | a - b | c",
-    "2025-11-10 12:00:02 | WARNING  | src.train:load:7 - ",
+    "2025-11-10 12:00:01 | INFO     | tuner.train:main:12 - Loading | a - b | c",
+    "2025-11-10 12:00:02 | WARNING  | tuner.train:load:7 - ",
     "2025-11-12 12:00:02 | SUCCESS  | __main__:<module>:101 - done: 5",
     "Traceback (most recent call last):",
     "",
@@ -24,8 +24,8 @@ def test_app_log(spark, tmp_path, rows):
         f.write("\n".join(LINES[3:]) + "\n")
     log = read_app_log(spark, str(tmp_path)).withColumn("at", F.date_format("logged_at", "dd HH:mm:ss"))
     assert rows(log.filter("parsed"), "at", "level", "name", "function", "line_no", "message") == [
-        ("10 12:00:01", "INFO", "src.train", "main", 12, "Loading | a - b | c"),
-        ("10 12:00:02", "WARNING", "src.train", "load", 7, ""),
+        ("10 12:00:01", "INFO", "tuner.train", "main", 12, "Loading | a - b | c"),
+        ("10 12:00:02", "WARNING", "tuner.train", "load", 7, ""),
         ("12 12:00:02", "SUCCESS", "__main__", "<module>", 101, "done: 5"),
     ]
     assert rows(log.filter("not parsed"), "message", "level") == sorted([(t, None) for t in LINES[3:]], key=repr)

@@ -45,7 +45,7 @@ hi as (select e.run, e.step, t.step as hs, t.value as hv
   from e asof left join t on e.run = t.run and e.step <= t.step),
 g as (select run, step, value as eval_loss,
     case when ls is null then hv when hs is null or hs = ls then lv
-      else lv + (step - ls) * (hv - lv) / (hs - ls) end as train_loss
+      else (hv - lv) / (hs - ls) * (step - ls) + lv end as train_loss
   from lo join hi using (run, step) where lv is not null or hv is not null),
 gap as (select *, eval_loss - train_loss as gap from g)
 """
@@ -55,8 +55,8 @@ def _kept(spark, sf):
     return S.filter_tags(X.metrics(spark, sf))
 
 
-def _rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def _rounded(df, *columns, places=6):
+    return df.withColumns({c: F.round(c, places) for c in columns})
 
 
 @query("metric_events", f"with {M} select run, tag, step, value, round(wall_time, 3) as wall_time, ord from m")
@@ -150,32 +150,33 @@ def all_steps(spark, sf):
 
 
 @query("train_eval_gap", f"""with {M}
-select run, step, eval_loss, round(train_loss, 6) as train_loss, round(gap, 6) as gap from gap""")
+select run, step, eval_loss, round(train_loss, 9) as train_loss, round(gap, 9) as gap from gap""")
 def train_eval_gap(spark, sf):
-    return _rounded(G.train_eval_gap(X.metrics(spark, sf)), "train_loss", "gap")
+    return _rounded(G.train_eval_gap(X.metrics(spark, sf)), "train_loss", "gap", places=9)
 
 
 @query("gap_summary", f"""with {M}, s as (
   select run, avg(gap) as mean_gap, arg_max(gap, step) as final_gap, arg_min(gap, step) as first_gap
   from gap group by run)
-select run, round(mean_gap, 6) as mean_gap, round(final_gap, 6) as final_gap,
+select run, round(mean_gap, 6) as mean_gap, round(final_gap, 9) as final_gap,
   case when abs(final_gap - first_gap) < 0.1 then 'stable'
     when final_gap > first_gap then 'increasing' else 'decreasing' end as trend
 from s""")
 def gap_summary(spark, sf):
-    return _rounded(G.gap_summary(G.train_eval_gap(X.metrics(spark, sf))), "mean_gap", "final_gap")
+    out = G.gap_summary(G.train_eval_gap(X.metrics(spark, sf)))
+    return _rounded(_rounded(out, "mean_gap"), "final_gap", places=9)
 
 
 @query("overfit_flags", f"""with {M}, l as (
   select *, lag(train_loss) over w as pt, lag(eval_loss) over w as pe
   from gap window w as (partition by run order by step))
-select run, step, round(train_loss, 6) as train_loss, eval_loss, round(gap, 6) as gap,
+select run, step, round(train_loss, 9) as train_loss, eval_loss, round(gap, 9) as gap,
   coalesce(train_loss < pt and eval_loss > pe, false) as overfitting,
   gap < 0.3 as gap_on_target, train_loss < 2.0 as train_on_target
 from l""")
 def overfit_flags(spark, sf):
     gap = G.train_eval_gap(X.metrics(spark, sf))
-    return _rounded(G.overfit_flags(gap), "train_loss", "gap")
+    return _rounded(G.overfit_flags(gap), "train_loss", "gap", places=9)
 
 
 @query("argmin_metric", f"""with {M}, r as (

@@ -94,7 +94,7 @@ def train_eval_gap(
     train_loss = (
         F.when(F.col("lo_s").isNull(), F.col("hi_v"))
         .when(F.col("hi_s").isNull() | (F.col("hi_s") == F.col("lo_s")), F.col("lo_v"))
-        .otherwise(F.col("lo_v") + (F.col("step") - F.col("lo_s")) * slope)
+        .otherwise(slope * (F.col("step") - F.col("lo_s")) + F.col("lo_v"))
     )
     return between.select("run", "step", "eval_loss", train_loss.alias("train_loss")).withColumn(
         "gap", F.col("eval_loss") - F.col("train_loss")
