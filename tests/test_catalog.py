@@ -79,6 +79,11 @@ def test_summary_and_head(make, rows):
     assert rows(C.head_by_key(files, ["path"], 2), "path") == [("p000",), ("p001",)]
 
 
+def test_existence(artifacts):
+    assert C.artifacts_exist(artifacts, "m/20251110_120000/final_model/")
+    assert not C.artifacts_exist(artifacts, "m/none/")
+
+
 def test_listing_and_manifest(spark, tmp_path, rows):
     for name in ("final_model/a.bin", "final_model/.git/b", "c.txt"):
         target = tmp_path / name

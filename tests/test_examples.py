@@ -9,7 +9,7 @@ from tunelake.functions.templates import format_training_text
 from tunelake.operators import dataset as D
 from tunelake.operators import tokens as T
 from tunelake.plans.training import prepare_training_table, training_batches
-from tunelake.sources.examples import load_splits, parse_example_lines, read_examples
+from tunelake.sources.examples import load_splits, parse_example_lines, read_examples, store_examples
 
 RECORD = {f: None for f in RECORD_FIELDS} | {"cancer_type": "melanoma “x”", "stage": "IV"}
 GOOD = [
@@ -69,6 +69,15 @@ def test_fail_mode(spark, folder, tmp_path):
         read_examples(spark, folder, mode="other")
 
 
+def test_stored_once(make, tmp_path):
+    lines = make([(t,) for t in GOOD + list(BAD)], "value string")
+    good, rejects = store_examples(parse_example_lines(lines), str(tmp_path / "s"))
+    assert good.columns == ["instruction", "input", "output"] and good.count() == len(GOOD)
+    assert {r["value"]: r["reason"] for r in rejects.collect()} == BAD
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rejected" in plan and "value" not in plan.split("ReadSchema")[1]
+
+
 def test_training_text(spark, folder):
     good, _ = read_examples(spark, folder)
     texts = [r["text"] for r in format_training_text(good).collect()]

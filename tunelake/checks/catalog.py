@@ -163,13 +163,19 @@ def cleanup(spark, sf):
     return C.cleanup_plan(X.artifacts(spark, sf), keep_final_model=True)
 
 
-_PAGES = """p as (select url || '/' || page_id as path, split_part(url, '/', 3) as host,
-  strlen(html) as length from pages)"""
+_PAGES = """p as (
+  select 'pages/' || replace(url, '://', '/') || '/' || page_id as path,
+    split_part(url, '/', 3) as host, strlen(html) as length from pages)"""
 
 
 def _pages(spark, sf):
     return X.table(spark, sf, "pages").select(
-        F.concat("url", F.lit("/"), F.col("page_id").cast("string")).alias("path"),
+        F.concat(
+            F.lit("pages/"),
+            F.replace("url", F.lit("://"), F.lit("/")),
+            F.lit("/"),
+            F.col("page_id").cast("string"),
+        ).alias("path"),
         F.split_part("url", F.lit("/"), F.lit(3)).alias("host"),
         F.octet_length("html").cast("bigint").alias("length"),
     )
@@ -203,18 +209,17 @@ def excluded(spark, sf):
 
 
 @query("artifact_manifest", f"""with {_PAGES}
-select path, substr(path, 9) as relative, 'backup/2024/' || substr(path, 9) as key
-from p where starts_with(path, 'https://') and not contains(path, '#top')""")
+select path, substr(path, 7) as relative, 'backup/2024/' || substr(path, 7) as key
+from p where not contains(path, '#top')""")
 def manifest(spark, sf):
-    out = artifact_manifest(_pages(spark, sf), "https://", "backup/2024/", ["#top"])
+    out = artifact_manifest(_pages(spark, sf), "pages", "backup/2024/", ["#top"])
     return out.select("path", "relative", "key")
 
 
 @query("relative_keys", f"""with {_PAGES}
-select path, ltrim(substr(path, 6), '/') as relative from p
-where starts_with(path, 'http:') and ltrim(substr(path, 6), '/') <> ''""")
+select path, substr(path, 7) as relative from p""")
 def relative(spark, sf):
-    return relative_keys(_pages(spark, sf), "http:").select("path", "relative")
+    return relative_keys(_pages(spark, sf), "pages").select("path", "relative")
 
 
 @query("list_artifacts", f"with {M} select run, count(distinct step) > 0 as has_files from k group by run")

@@ -13,7 +13,12 @@ from tunelake.operators import dataset as D
 from tunelake.operators import tokens as T
 from tunelake.plans.training import prepare_training_table, training_batches
 from tunelake.session import new_folder
-from tunelake.sources.examples import load_splits, parse_example_lines, read_examples
+from tunelake.sources.examples import (
+    load_splits,
+    parse_example_lines,
+    read_examples,
+    store_examples,
+)
 
 REC = """
 rec as (
@@ -76,6 +81,18 @@ def example_reasons(spark, sf):
     return parse_example_lines(X.example_lines(spark, sf)).select("id", "reason")
 
 
+@query("store_examples", f"""
+select p_partkey as id, case when p_partkey % 11 not in (1, 2, 3, 4, 5) then p_name end as input,
+  {_REASON} as reason
+from part""")
+def stored_examples(spark, sf):
+    parsed = parse_example_lines(X.example_lines(spark, sf))
+    good, rejects = store_examples(parsed, new_folder(spark, "examples"))
+    return good.select("id", "input", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select("id", F.lit(None).cast("string").alias("input"), "reason")
+    )
+
+
 @query("dumps_record", f"with {REC} select id, {dump_sql(RECORD_FIELDS)} as json from rec")
 def dumps(spark, sf):
     return X.examples(spark, sf).select("id", dumps_record(F.col("output")).alias("json"))

@@ -133,6 +133,11 @@ def artifact_summary(artifacts: DataFrame, keys: list[str], shown: int = 10) ->
     )
 
 
+def artifacts_exist(artifacts: DataFrame, prefix: str, path: str = "path") -> bool:
+    """Whether any artifact lies under the prefix; stops at the first one found."""
+    return not artifacts.filter(F.startswith(path, F.lit(prefix))).isEmpty()
+
+
 def artifact_head(artifacts: DataFrame, keys: list[str], shown: int = 10) -> DataFrame:
     """The short listing itself: the first paths of each group with their size."""
     by_path = Window.partitionBy(*keys).orderBy("path")

@@ -94,13 +94,13 @@ def collate(
     sort_by_length: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Padded batches of tokenised examples, in key order.
+    """Padded batches of tokenised examples (``key, input_ids, length``), in key order.
 
     Every example is padded on the right to the longest of its batch; the mask is 0 on padding, and
     labels are the ids with every pad id (also one inside the text, where pad and end mark are the
     same) replaced by the ignored label. ``sort_by_length`` batches examples of like length, which
     wastes less padding. ``key`` must be unique. Only keys and lengths are read and ordered for the
-    batches; the token columns move once, to meet their batch.
+    batches; the ids move once, to meet their batch, and masks are made where they are used.
     """
     order = ["length", key] if sort_by_length else [key]
     batches = batch_rows(
@@ -116,13 +116,17 @@ def collate(
     def pad(column: Column, value: int) -> Column:
         return F.concat(column, F.array_repeat(F.lit(value), padding))
 
-    return tokenised.join(batches, key).withColumns(
-        {
-            "labels": pad(labels, IGNORED_LABEL),
-            "input_ids": pad(F.col("input_ids"), pad_id),
-            "attention_mask": pad(F.col("attention_mask"), 0),
-            "n_padding": padding,
-        }
+    return (
+        tokenised.drop("attention_mask")
+        .join(batches, key)
+        .withColumns(
+            {
+                "labels": pad(labels, IGNORED_LABEL),
+                "input_ids": pad(F.col("input_ids"), pad_id),
+                "attention_mask": pad(F.array_repeat(F.lit(1), F.col("length")), 0),
+                "n_padding": padding,
+            }
+        )
     )
 
 

@@ -42,4 +42,4 @@ def training_batches(
     Batching reads lengths first and tokens later, so the tokens are written once between the two
     rather than made twice. A table read from storage goes to ``collate`` as it is.
     """
-    return collate(written(tokenised, "tokens"), key, pad_id, batch_size, **options)
+    return collate(written(tokenised.drop("attention_mask"), "tokens"), key, pad_id, batch_size, **options)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tunelake.constants import RECORD_FIELDS
 from tunelake.functions.strict_json import (
@@ -105,6 +106,24 @@ def read_examples(
     return split_examples(parsed, "value", mode)
 
 
+def store_examples(
+    parsed: DataFrame, path: str, line: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """Write ``parse_example_lines`` output once and give ``(good, rejects)`` from storage.
+
+    For callers who need both: the lines are then read and parsed a single time. The halves lie in
+    folders of their own, and only rejected rows keep their line.
+    """
+    parsed.withColumn("rejected", F.col("reason").isNotNull()).withColumn(
+        line, F.when(F.col("rejected"), F.col(line))
+    ).write.partitionBy("rejected").parquet(path)
+    stored = parsed.sparkSession.read.schema(
+        StructType([*parsed.schema.fields, StructField("rejected", BooleanType())])
+    ).parquet(path)
+    good = stored.filter(~F.col("rejected")).drop(line, "reason", "rejected")
+    return good, stored.filter(F.col("rejected")).drop(*_KEYS, "rejected")
+
+
 def load_splits(splits: dict[str, DataFrame]) -> DataFrame:
     """One table of several splits, each row labelled with its ``split``."""
     labelled = [df.withColumn("split", F.lit(name)) for name, df in splits.items()]
