@@ -33,7 +33,7 @@ def test_runs(artifacts, rows):
         ("20251112_000000", "m/20251112_000000", "m/20251112_000000/logs/", "2025-11-12 00:00:00"),
     ]
     inside = A.with_run(artifacts, "m/")
-    assert rows(C.runs_with_logs(runs, inside), "run") == [("20251110_120000",)]
+    assert rows(C.runs_with_logs(runs, inside), "run") == [("20251110_120000",), ("20251112_000000",)]
     assert C.latest_run(runs).first()["run"] == "20251112_000000"
     assert C.select_run(runs, "20251110_120000").count() == 1
     assert C.select_run(runs).first()["run"] == "20251112_000000"

@@ -158,6 +158,24 @@ def test_user_tokenizer(make):
     assert {r["id"]: r["input_ids"] for r in out.collect()} == {1: [97, 98], 2: list("é".encode())}
 
 
+def test_tokenizer_is_made_once_for_each_process(spark, tmp_path):
+    made = str(tmp_path / "made")
+
+    def factory():
+        import os
+
+        with open(made, "a") as log:
+            log.write(f"{os.getpid()}\n")
+        return lambda texts: [[len(t)] for t in texts]
+
+    df = spark.range(0, 40, 1, 8).select("id", F.col("id").cast("string").alias("text"))
+    for _ in range(2):
+        out = T.tokenize(df, T.encoder_ids(F.col("text"), factory, "counted"))
+        assert sorted(r["input_ids"][0] for r in out.collect()) == [1] * 10 + [2] * 30
+    processes = open(made).read().split()
+    assert len(processes) == len(set(processes)) < 16
+
+
 def test_trained_subword_tokenizer(make):
     tokenizers = pytest.importorskip("tokenizers")
     model = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="?"))

@@ -246,12 +246,16 @@ def trainer_states(spark: SparkSession, sf_dir: str, rows_per_state: int = 100)
     return (
         m.withColumn("segment", F.expr(f"ord div {rows_per_state}"))
         .groupBy("run", "segment")
-        .agg(F.sort_array(F.collect_list(row)).alias("rows"), F.max("step").alias("global_step"))
+        .agg(
+            F.sort_array(F.collect_list(row)).alias("rows"),
+            F.max("step").alias("global_step"),
+            F.min(F.when(F.col("tag") == "eval/loss", F.col("value"))).alias("best_metric"),
+        )
         .select(
             "run",
             "segment",
             F.to_json(
-                F.struct("global_step", F.col("rows.row").alias("log_history"))
+                F.struct("best_metric", "global_step", F.col("rows.row").alias("log_history"))
             ).alias("document"),
         )
     )

@@ -18,6 +18,7 @@ from tunelake.sources.metrics import (
     merge_metric_sources,
     parse_console_metrics,
     read_metric_events,
+    trainer_state_header,
 )
 from tunelake.sources.sinks import write_metrics_csv
 
@@ -247,15 +248,27 @@ def merge_sources(spark, sf):
     return S.first_per_step(merge_metric_sources(first, second)).drop("wall_time", "ord")
 
 
+def _states(spark, sf):
+    states = X.trainer_states(spark, sf).select(
+        "run", "segment", F.from_json("document", TRAINER_STATE_SCHEMA).alias("state")
+    )
+    return states.select("run", "segment", "state.*")
+
+
 @query("trainer_state_explode", f"""with {M}
 select run, ord // 100 as segment, tag, step, value,
   row_number() over (partition by run, ord // 100 order by ord) - 1 as ord
 from m where tag in ('train/loss', 'eval/loss')""")
-def trainer_state_explode(spark, sf):
-    states = X.trainer_states(spark, sf).select(
-        "run", "segment", F.from_json("document", TRAINER_STATE_SCHEMA).alias("state")
-    )
-    return explode_trainer_state(states.select("run", "segment", "state.*"), ["run", "segment"])
+def trainer_history(spark, sf):
+    return explode_trainer_state(_states(spark, sf), ["run", "segment"])
+
+
+@query("trainer_state_header", f"""with {M}
+select run, ord // 100 as segment, min(case when tag = 'eval/loss' then value end) as best_metric,
+  null::varchar as best_model_checkpoint, max(step) as global_step, null::double as epoch
+from m where tag in ('train/loss', 'eval/loss') group by run, ord // 100""")
+def trainer_header(spark, sf):
+    return trainer_state_header(_states(spark, sf), ["run", "segment"])
 
 
 _CONSOLE = """

@@ -11,15 +11,11 @@ from tunelake.operators.series import filter_tags, first_per_step
 
 
 def runs_with_logs(runs: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Runs that hold at least one file under ``logs/``.
+    """Runs that hold at least one object under ``logs/``, be it only the folder's own entry.
 
     ``artifacts`` has ``run`` and ``inside``; it is cut to distinct runs before it meets ``runs``.
     """
-    logged = (
-        artifacts.filter(F.startswith("inside", F.lit("logs/")) & (F.length("inside") > 5))
-        .select("run")
-        .distinct()
-    )
+    logged = artifacts.filter(F.startswith("inside", F.lit("logs/"))).select("run").distinct()
     return runs.join(logged, "run", "left_semi")
 
 

@@ -20,6 +20,12 @@ Encode = Callable[[list[str]], list[list[int]]]
 _loaded: dict[str, Encode] = {}
 
 
+def _encoder_of_process(name: str, factory: Callable[[], Encode]) -> Encode:
+    if name not in _loaded:
+        _loaded[name] = factory()
+    return _loaded[name]
+
+
 def word_ids(text: Column, vocabulary: int = 1 << 17) -> Column:
     """Ids of the words between white space, by hash; needs no model file and no Python worker."""
     words = F.split(strip(text), r"\s+")
@@ -34,14 +40,13 @@ def character_ids(text: Column) -> Column:
 
 
 def encoder_ids(text: Column, encoder_factory: Callable[[], Encode], name: str = "encoder") -> Column:
-    """Ids by a user's tokenizer, made once in each Python worker and fed Arrow batches."""
+    """Ids by a user's tokenizer, made once in each Python worker under ``name``, by Arrow batches."""
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _loaded:
-            _loaded[name] = encoder_factory()
+        encoder = _encoder_of_process(name, encoder_factory)
         for batch in batches:
-            yield pd.Series(_loaded[name](batch.tolist()))
+            yield pd.Series(encoder(batch.tolist()), dtype=object)
 
     return encode(text)
 
