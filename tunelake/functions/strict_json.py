@@ -12,6 +12,7 @@ Known differences from Python's parser: a number in a string field arrives as it
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,15 +152,15 @@ def _lower_control_escapes(text: Column) -> Column:
 def _dumped_with_controls(record: Column, fields: list[str]) -> Column:
     """Any record, by Spark's own writer, with Python's spacing and lower-case escapes.
 
-    A quote inside a value is always escaped, so ``,"field":`` can only be a separator and its key.
+    A quote inside a value always has a backslash before it, so a field name in quotes right after a
+    brace or comma can only be a key.
     """
     text = F.to_json(
         F.struct(*[record[f].alias(f) for f in fields]), {"ignoreNullFields": "false"}
     )
-    for number, field in enumerate(fields):
-        key = json.dumps(field, ensure_ascii=False) + ":"
-        compact, spaced = ("{" + key, "{" + key + " ") if number == 0 else ("," + key, ", " + key + " ")
-        text = F.replace(text, F.lit(compact), F.lit(spaced))
+    names = "|".join(re.escape(json.dumps(f, ensure_ascii=False)) for f in fields)
+    text = F.regexp_replace(text, f"(?<=[{{,])({names}):", "$1: ")
+    text = F.regexp_replace(text, f",({names}): ", ", $1: ")
     return F.get(F.transform(F.array(text), _lower_control_escapes), F.lit(0))
 
 
