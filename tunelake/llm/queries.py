@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunelake.llm import byte_bpe
+from tunelake.llm import byte_bpe, packing
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,8 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @_query("op1_byte_bpe")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
