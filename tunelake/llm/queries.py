@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunelake.llm import byte_bpe, packing
+from tunelake.llm import byte_bpe, packing, sharding
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +34,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_histogram_sort")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
