@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import byte_bpe, packing, sharding
+from tunelake.llm import byte_bpe, packing, sharding, topk
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+_OP10 = """
+WITH usable AS (
+    SELECT row_number() OVER () AS row, vec_id, embedding
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+    SELECT row, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place,
+           len(embedding) AS size
+    FROM usable),
+whole AS (
+    SELECT row, vec_id, size, place, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, c.row AS row,
+           CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.place = c.place AND q.size = c.size AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+    GROUP BY q.vec_id, c.vec_id, c.row)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+
+@_query("op10_bit_sliced_topk", _OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), 10)
