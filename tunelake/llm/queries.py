@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import byte_bpe, packing, sharding, topk
+from tunelake.llm import byte_bpe, packing, privacy, sharding, topk
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +54,7 @@ WITH usable AS (
     SELECT row_number() OVER () AS row, vec_id, embedding
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 parts AS (
     SELECT row, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place,
            len(embedding) AS size
@@ -77,3 +77,8 @@ WHERE rank <= 10
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+@_query("op9_information_theoretic_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.find(table(spark, sf_dir, "documents"))
