@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import byte_bpe, packing, privacy, sharding, topk
+from tunelake.llm import byte_bpe, packing, privacy, quality, sharding, topk
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_information_theoretic_pii")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.find(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_weak_supervision")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return scored.select("doc_id", *quality.Counts, "base_failed", "kept", "good")
