@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import byte_bpe, packing, privacy, quality, sharding, topk
+from tunelake.llm import (
+    byte_bpe,
+    licences,
+    packing,
+    privacy,
+    quality,
+    sharding,
+    token_counts,
+    topk,
+)
 from tunelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +97,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return scored.select("doc_id", *quality.Counts, "base_failed", "kept", "good")
+
+
+@_query("op3_length_histogram")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
+def _op8_sql() -> str:
+    """The canonical form and its digests in the other dialect."""
+    form = f"regexp_replace(lower(text), '{licences.COPYRIGHT_LINE}', '', 'g')"
+    for spelling, common in licences.SPELLINGS:
+        form = f"replace({form}, '{spelling}', '{common}')"
+    form = f"regexp_replace({form}, '{licences._VERSION}', 'version \\1', 'g')"
+    form = f"regexp_replace({form}, '{licences._OTHER}', ' ', 'g')"
+    rows = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''"))
+        for name, texts in licences.KNOWN.items()
+        for text in texts
+    )
+    digest = "sha256(trim(regexp_replace({}, '[ \\n]+', ' ', 'g')))"
+    return f"""
+    WITH known AS (
+        SELECT digest, min(name) AS licence
+        FROM (SELECT name, {digest.format(form)} AS digest FROM (VALUES {rows}) AS k(name, text))
+        GROUP BY digest),
+    forms AS (SELECT doc_id, {form} AS form FROM documents),
+    split AS (SELECT doc_id, string_split(form, chr(10)) AS parts, form FROM forms),
+    units AS (
+        SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line, unnest(parts) AS unit
+        FROM split
+        UNION ALL
+        SELECT doc_id, NULL, form FROM split WHERE contains(form, chr(10)))
+    SELECT doc_id, line, licence
+    FROM units JOIN known ON {digest.format("unit")} = digest
+    WHERE trim(unit) <> '' OR line IS NULL
+    """
+
+
+@_query("op8_canonical_digests", _op8_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
