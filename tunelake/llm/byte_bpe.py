@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import string
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from tunelake.llm.common import BoundedCache, map_batches
 
 #: Entries that a worker keeps for stretches between spaces and for pre-tokens, and the longest kept.
-CACHED_STRETCHES, CACHED_PIECES, CACHE_LONGEST = 600_000, 200_000, 48
+CACHED_STRETCHES, CACHED_PIECES, CACHE_LONGEST = 900_000, 500_000, 48
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token: always the lowest-ranked pair first, the leftmost among equals.
@@ -117,6 +118,7 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self._cut = regex.compile(pattern).findall
+        self._plain = pattern == public_tokenizers.PATTERN
         self._pieces = BoundedCache(self._piece, CACHED_PIECES, CACHE_LONGEST)
         self._stretches = BoundedCache(self._stretch, CACHED_STRETCHES, CACHE_LONGEST)
 
@@ -129,8 +131,12 @@ class ByteBpe:
         return list(chain.from_iterable(map(self._pieces.__getitem__, self._cut(text))))
 
     def _stretch(self, stretch: str) -> tuple[int, ...]:
-        if not stretch or regex.match(r"\s", stretch):
+        if not stretch or stretch[0].isspace():
             raise _NotAlone
+        word = stretch.rstrip(string.punctuation)
+        if self._plain and word.isalpha():  # a word is one pre-token, marks behind it are another
+            ids = self._pieces[" " + word]
+            return ids if word == stretch else ids + self._pieces[stretch[len(word) :]]
         return tuple(self._whole(" " + stretch))
 
     def encode(self, text: str) -> list[int]:
