@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunelake.llm import (
     byte_bpe,
+    language,
     licences,
     packing,
     privacy,
@@ -138,3 +139,17 @@ def _op8_sql() -> str:
 @_query("op8_canonical_digests", _op8_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_evidence_fusion")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages: which languages there are is learnt from the labelled documents."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = language.fit(documents, "text", "lang")
+    pages = language.with_page_evidence(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    of_documents = language.identify(documents, model, declared="lang", host="source")
+    of_pages = language.identify(pages.drop("url"), model)
+    result = ["language", F.round("probability", 6).alias("probability"), "kept"]
+    return of_documents.select("doc_id", F.lit(None).cast("long").alias("page_id"), *result).unionByName(
+        of_pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *result)
+    )
