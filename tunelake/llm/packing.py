@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,7 +46,7 @@ CAPACITY, END_ID = 4096, 1
 #: Rows of one length that are numbered together.
 NUMBERED_TOGETHER = 2000
 #: Words that a worker remembers, the longest one, and the characters that are worked on at a time.
-CACHED_WORDS, LONGEST_WORD, CHARACTERS = 500_000, 48, 2_000_000
+CACHED_WORDS, LONGEST_WORD, CHARACTERS = 600_000, 48, 2_000_000
 
 # Characters that normalisation leaves alone but for lower case, with plain white space between them.
 _SPECIAL = re.compile("[^\t\n\r -~¡-¬®-įı-ɏ‐-‧€]")
@@ -66,26 +67,62 @@ class WordTokens:
         self._reserved = [content.lower() for content in special]
         self._divider = special[-1]
         self._divider_id = self._tokenizer.token_to_id(self._divider)
+        suffix = self._tokenizer.model.end_of_word_suffix
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of the words, encoded as one text with a special token between them."""
+    def _cut_at(self, words: list[str], joined: str, dividers: bool) -> dict[str, bytes]:
+        """The library's ids of ``joined``, cut into those of its ``words``.
+
+        At the tokens that end a word; or at the special tokens between words, which are dropped.
+        """
         if not words:
             return {}
-        joined = self._tokenizer.encode_batch_fast(
-            [self._divider.join(words)], add_special_tokens=False
-        )[0].ids
-        ids = np.array(joined, "<u4")
-        cuts = np.flatnonzero(ids == self._divider_id).tolist()
+        encoded = self._tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, "<u4")
+        if dividers:
+            ends = [*np.flatnonzero(ids == self._divider_id).tolist(), len(ids)]
+            starts = [0, *(end + 1 for end in ends[:-1])]
+        else:
+            ends = (np.flatnonzero(self._ends_word[ids]) + 1).tolist()
+            starts = [0, *ends[:-1]]
+        if len(ends) != len(words):
+            raise ValueError("the tokenizer joins characters across words")
         raw = ids.tobytes()
-        return {
-            word: raw[4 * start : 4 * end]
-            for word, start, end in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)])
-        }
+        return {w: raw[4 * start : 4 * end] for w, start, end in zip(words, starts, ends)}
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words.
+
+        Letters with marks behind them are two parts for the tokenizer, so only the letters may be
+        new. Words of letters are told apart by the tokens that end them, others by a special token.
+        """
+        known, learnt = self._known, {}
+        letters, others, joined = set(), set(), []
+        for word in words:
+            core = word.rstrip(string.punctuation)
+            if not core.isalpha():
+                others.add(word)
+                continue
+            if core not in known:
+                letters.add(core)
+            if core != word:
+                joined.append((word, core))
+                if (marks := word[len(core) :]) not in known:
+                    others.add(marks)
+        letters, others = list(letters), list(others)
+        learnt = self._cut_at(letters, " ".join(letters), False)
+        learnt |= self._cut_at(others, self._divider.join(others), True)
+        for word, core in joined:
+            marks = word[len(core) :]
+            learnt[word] = (learnt.get(core) or known[core]) + (learnt.get(marks) or known[marks])
+        return learnt
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain: list[list[str] | None] = []
@@ -98,7 +135,7 @@ class WordTokens:
             words = lower.split()
             plain.append(words)
             new.update(set(words).difference(self._known))
-        learnt = self._learn(list(new))
+        learnt = self._learn(new)
         if len(self._known) + len(learnt) > CACHED_WORDS:
             used = {w for words in plain if words for w in words}
             self._known = {w: self._known[w] for w in used.intersection(self._known)}
