@@ -11,6 +11,7 @@ from tunelake.llm import (
     byte_bpe,
     language,
     licences,
+    near_duplicates,
     packing,
     privacy,
     quality,
@@ -153,3 +154,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_documents.select("doc_id", F.lit(None).cast("long").alias("page_id"), *result).unionByName(
         of_pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *result)
     )
+
+
+@_query("op7_order_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
