@@ -81,7 +81,7 @@ def test_model_is_made_once_for_each_process(spark, make, tmp_path):
         return lambda prompts, params: [f"{p}|{len(prompts)}|{params['top_p']}" for p in prompts]
 
     df = make([(i, f"p{i}") for i in range(50)], "id int, prompt string")
-    out = batch_infer(df, factory, batch_size=4, partitions=6, params={"top_p": 0.5}, model_name="once").collect()
+    out = batch_infer(df, factory, batch_size=4, partitions=6, params={"top_p": 0.5}).collect()
     assert {r["id"] for r in out} == set(range(50))
     for row in out:
         text, size, top_p = row["full_output"].split("|")
@@ -90,13 +90,32 @@ def test_model_is_made_once_for_each_process(spark, make, tmp_path):
     assert len(processes) == len(set(processes))
 
 
+def test_two_models_in_one_session(make):
+    def model(word):
+        return lambda: lambda prompts, params: [word for _ in prompts]
+
+    df = make([(1, "p", 2.5)], "id int, prompt string, more double")
+    for word in ("first", "second", "first"):
+        row = batch_infer(df, model(word)).first()
+        assert (row["full_output"], row["more"]) == (word, 2.5)
+
+
+def test_a_model_for_each_run(make):
+    def model(run):
+        return lambda prompts, params: [f"{run}:{p}" for p in prompts]
+
+    grid = run_sample_grid(make([(i, f"p{i}") for i in range(20)], "id int, prompt string"), ["x", "y", "z"])
+    got = batch_infer(grid, model, partitions=5, run_column="run").collect()
+    assert len(got) == 60 and all(r["full_output"] == f"{r['run']}:{r['prompt']}" for r in got)
+
+
 def test_model_must_answer_every_prompt(make):
     def short_factory():
         return lambda prompts, params: []
 
     df = make([(1, "p")], "id int, prompt string")
     with pytest.raises(Exception, match="one output for each prompt"):
-        batch_infer(df, short_factory, model_name="short").collect()
+        batch_infer(df, short_factory).collect()
     with pytest.raises(ValueError):
         batch_infer(df, short_factory, batch_size=0)
 
@@ -109,13 +128,13 @@ def test_flows(make, rows):
         return run
 
     texts = make([(1, "good"), (2, "bad")], "id int, text string")
-    out = recover_records(texts, factory, fields=FIELDS, model_name="flow")
+    out = recover_records(texts, factory, fields=FIELDS)
     assert rows(out, "id", "status", "record.a") == [(1, "ok", "x"), (2, "no_json", None)]
 
     samples = make(
         [(1, "do", "good", json.dumps(EXPECTED)), (2, "do", "bad", json.dumps(EXPECTED))],
         "id int, instruction string, input string, expected_json string",
     )
-    result = evaluate(samples, factory, fields=FIELDS, model_name="flow")
+    result = evaluate(samples, factory, fields=FIELDS)
     assert tuple(result["accuracy"].first()) == (2, 1, 50.0)
     assert rows(result["scored"], "id", "match", "raw") == [(1, True, None), (2, False, "no idea")]

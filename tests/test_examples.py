@@ -116,16 +116,15 @@ def _pad(ids, width, pad):
     return ids + [pad] * (width - len(ids))
 
 
-@pytest.mark.parametrize("limit", [0, 100])
 @pytest.mark.parametrize("by_length", [False, True])
-def test_collate_equals_python(make, by_length, limit):
+def test_collate_equals_python(make, by_length):
     lists = [list(range(1, 1 + (7 * i) % 11)) for i in range(23)]
     data = make(
         [(i, ids, [1] * len(ids), len(ids)) for i, ids in enumerate(lists)],
         "id int, input_ids array<int>, attention_mask array<int>, length int",
     )
-    got = {r["id"]: r for r in training_batches(
-        data, "id", pad_id=2, sort_by_length=by_length, max_group_rows=limit
+    got = {r["id"]: r for r in T.collate(
+        data, "id", pad_id=2, sort_by_length=by_length
     ).collect()}
     assert len(got) == 23
     order = sorted(range(23), key=lambda i: (len(lists[i]), i)) if by_length else list(range(23))
@@ -139,6 +138,45 @@ def test_collate_equals_python(make, by_length, limit):
         assert got[i]["labels"] == [-100 if t == 2 else t for t in ids]
 
 
+def test_batches_keep_splits_and_rows(make):
+    data = make([(i // 3, "a" if i % 2 else "b", [i] * (i % 5), i % 5) for i in range(30)],
+                "id int, split string, input_ids array<int>, length int")
+    got = T.collate(data, "id", pad_id=0, group=["split"]).collect()
+    assert len(got) == 30  # rows that share a key do not multiply
+    members = {}
+    for r in got:
+        members.setdefault((r["split"], r["batch_id"]), []).append(r)
+    assert sorted(len(m) for m in members.values()) == [3, 3, 4, 4, 4, 4, 4, 4]
+    for m in members.values():
+        assert {r["batch_length"] for r in m} == {max(r["length"] for r in m)}
+
+
+def test_examples_to_batches(spark, tmp_path):
+    for split, count in (("train", 9), ("validation", 3)):
+        lines = [json.dumps({"instruction": "i", "input": "x" * n, "output": {}}) for n in range(count)]
+        (tmp_path / f"{split}.jsonl").write_text("\n".join([*lines, "broken {"]))
+    tokens, rejects = prepare_training_table(
+        spark, {s: str(tmp_path / f"{s}.jsonl") for s in ("train", "validation")},
+        T.character_ids(F.col("text")),
+    )
+    assert rejects.count() == 2
+    got = training_batches(tokens, pad_id=0).collect()
+    assert sorted((r["split"], r["batch_id"]) for r in got) == sorted(
+        [("train", i // 4) for i in range(9)] + [("validation", 0)] * 3
+    )
+    assert len({(r["split"], r["example_id"]) for r in got}) == 12
+
+
+def test_two_encoders_in_one_session(make):
+    def encoder(number):
+        return lambda: lambda texts: [[number] for _ in texts]
+
+    df = make([(1, "a")], "id int, text string")
+    for number in (1, 2, 1):
+        out = T.tokenize(df, T.encoder_ids(F.col("text"), encoder(number)))
+        assert out.first()["input_ids"] == [number]
+
+
 def test_tokenizers(make):
     df = make([(1, "one  two\nthree"), (2, " "), (3, "é😀")], "id int, text string")
     words = {r["id"]: r for r in T.tokenize(df, max_len=2).collect()}
@@ -154,7 +192,7 @@ def test_user_tokenizer(make):
         return lambda texts: [list(t.encode()) for t in texts]
 
     df = make([(1, "ab"), (2, "é")], "id int, text string")
-    out = T.tokenize(df, T.encoder_ids(F.col("text"), _byte_encoder, "bytes"))
+    out = T.tokenize(df, T.encoder_ids(F.col("text"), _byte_encoder))
     assert {r["id"]: r["input_ids"] for r in out.collect()} == {1: [97, 98], 2: list("é".encode())}
 
 
@@ -169,30 +207,27 @@ def test_tokenizer_is_made_once_for_each_process(spark, tmp_path):
         return lambda texts: [[len(t)] for t in texts]
 
     df = spark.range(0, 40, 1, 8).select("id", F.col("id").cast("string").alias("text"))
+    ids = T.encoder_ids(F.col("text"), factory)
     for _ in range(2):
-        out = T.tokenize(df, T.encoder_ids(F.col("text"), factory, "counted"))
+        out = T.tokenize(df, ids)
         assert sorted(r["input_ids"][0] for r in out.collect()) == [1] * 10 + [2] * 30
     processes = open(made).read().split()
     assert len(processes) == len(set(processes)) < 16
 
 
-def test_trained_subword_tokenizer(make):
+def test_public_subword_tokenizer(make):
     tokenizers = pytest.importorskip("tokenizers")
-    model = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="?"))
-    model.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
-    model.train_from_iterator(
-        ["low lower lowest new newer"] * 4, tokenizers.trainers.BpeTrainer(special_tokens=["?"])
-    )
-    saved = model.to_str()
+    file = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 
     def factory():
         import tokenizers
 
-        loaded = tokenizers.Tokenizer.from_str(saved)
+        loaded = tokenizers.Tokenizer.from_file(file)
         return lambda texts: [e.ids for e in loaded.encode_batch(texts)]
 
     df = make([(1, "low newer"), (2, "lowest")], "id int, text string")
-    got = {r["id"]: r["input_ids"] for r in T.tokenize(df, T.encoder_ids(F.col("text"), factory, "bpe")).collect()}
+    got = {r["id"]: r["input_ids"] for r in T.tokenize(df, T.encoder_ids(F.col("text"), factory)).collect()}
+    model = tokenizers.Tokenizer.from_file(file)
     assert got == {1: model.encode("low newer").ids, 2: model.encode("lowest").ids}
 
 

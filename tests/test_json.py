@@ -112,3 +112,15 @@ def test_schema_check(make):
     df = make([(1, '{"a": null, "b": "x"}'), (2, '{"c": 1, "a": 2}'), (3, "no")], "id int, t string")
     got = {r["id"]: (r["missing"], r["extra"], r["schema_ok"]) for r in check_record_schema(df, "t", ["a", "b"]).collect()}
     assert got == {1: ([], [], True), 2: (["b"], ["c"], False), 3: (["a", "b"], [], False)}
+
+
+def test_a_text_of_braces(make, rows):
+    import time
+
+    texts = ["{" * 100_000, "}" * 100_000, "}{", '} {"a": "x"} }', '{"a": "x"} {', None, ""]
+    df = make(list(enumerate(texts)), "id int, t string")
+    start = time.time()
+    got = rows(extract_json(df, "t", ["a"]), "id", "status", "record.a")
+    assert time.time() - start < 30
+    assert got == [(0, "malformed", None), (1, "no_json", None), (2, "malformed", None),
+                   (3, "malformed", None), (4, "ok", "x"), (5, "no_json", None), (6, "no_json", None)]

@@ -162,7 +162,7 @@ def infer(spark, sf):
     prompts = X.table(spark, sf, "documents").select(
         "doc_id", inference_prompt(F.col("text")).alias("prompt")
     )
-    outputs = batch_infer(prompts, _stub_factory, "doc_id", model_name="length-stub")
+    outputs = batch_infer(prompts, _stub_factory, "doc_id")
     answers = outputs.select(
         "doc_id",
         F.length("prompt").alias("prompt_length"),
@@ -203,3 +203,31 @@ def compare(spark, sf):
         X.predicted(spark, sf).withColumnRenamed("predicted_json", "j"), "j"
     ).select("id", F.lit("run-b").alias("run"), "predicted.*")
     return E.compare_runs(first.unionByName(second), "run-a", "run-b", ["id"])
+
+
+def _run_factory(run):
+    def write(prompts, params):
+        return [f'{p}{{"stage": "{len(p) % 3 if run == "older" else len(p) % 2}", "response": "{run}"}}'
+                for p in prompts]
+
+    return write
+
+
+@query("grid_compare", f"""with n as (
+  select doc_id, length(text) + {len(INFERENCE_INSTRUCTION) + 26} as prompt_length from documents)
+select doc_id, 'response' as field, 'older' as value_a, 'newer' as value_b from n
+union all select doc_id, 'stage', (prompt_length % 3)::varchar, (prompt_length % 2)::varchar
+from n where prompt_length % 3 <> prompt_length % 2""")
+def grid_compare(spark, sf):
+    ship_package(spark)
+    samples = X.table(spark, sf, "documents").select(
+        "doc_id", inference_prompt(F.col("text")).alias("prompt")
+    )
+    grid = run_sample_grid(samples, ["older", "newer"])
+    outputs = batch_infer(grid, _run_factory, "doc_id", run_column="run").withColumn(
+        "generated", strip_prompt(F.col("full_output"), F.col("prompt"))
+    )
+    found = extract_json(outputs, "generated", ["stage", "response"])
+    return E.compare_runs(
+        found.select("run", "doc_id", "record.*"), "older", "newer", ["doc_id"], ["stage", "response"]
+    )

@@ -243,7 +243,7 @@ def _collated(spark, sf, **options):
     tokenised = T.tokenize(
         X.table(spark, sf, "documents").select("doc_id", "text"), T.character_ids(F.col("text"))
     )
-    return training_batches(tokenised, "doc_id", pad_id=32, **options)
+    return T.collate(tokenised, "doc_id", pad_id=32, **options)
 
 
 @query("collate_batches", f"""with {_BATCHES}
@@ -278,21 +278,45 @@ def padding_waste(spark, sf):
   select *, (row_number() over (order by kept, doc_id) - 1) // 4 as batch_id from tok)
 select doc_id, batch_id, max(kept) over (partition by batch_id)::int as batch_length from numbered""")
 def collate_by_length(spark, sf):
-    return _collated(spark, sf, sort_by_length=True, max_group_rows=0).select("doc_id", "batch_id", "batch_length")
+    return _collated(spark, sf, sort_by_length=True).select("doc_id", "batch_id", "batch_length")
 
 
-@query("training_table", f"""with {REC}, texts as (
-  select case when id % 10 = 0 then 'validation' else 'train' end as split, {_TRAINING_TEXT} as text
-  from rec where id % 11 not in (1, 2, 3, 4, 5))
-select split, length(text)::int as n_tokens, length(text) > 512 as was_truncated, count(*) as examples
-from texts group by all""")
-def training_table(spark, sf):
+_FLOW = f"""with {REC}, texts as (
+  select case when id % 10 = 0 then 'validation' else 'train' end as split,
+    length({_TRAINING_TEXT})::int as n_tokens
+  from rec where id % 11 not in (1, 2, 3, 4, 5))"""
+
+
+def _training_table(spark, sf):
     lines = X.example_lines(spark, sf)
     paths = {}
     for split, rows in {"train": lines.filter("id % 10 <> 0"), "validation": lines.filter("id % 10 = 0")}.items():
         paths[split] = new_folder(spark, split)
         rows.select("value").write.text(paths[split])
-    tokenised, _ = prepare_training_table(spark, paths, T.character_ids(F.col("text")), 512)
-    return tokenised.groupBy("split", "n_tokens", "was_truncated").agg(
+    return prepare_training_table(spark, paths, T.character_ids(F.col("text")), 512)[0]
+
+
+@query("training_table", f"""{_FLOW}
+select split, n_tokens, n_tokens > 512 as was_truncated, count(*) as examples
+from texts group by all""")
+def training_table(spark, sf):
+    return _training_table(spark, sf).groupBy("split", "n_tokens", "was_truncated").agg(
         F.count(F.lit(1)).alias("examples")
     )
+
+
+@query("training_flow", f"""{_FLOW}, numbered as (
+  select split, least(n_tokens, 512) as length,
+    (row_number() over (partition by split order by least(n_tokens, 512)) - 1) // 4 as batch_id
+  from texts)
+select split, batch_id, count(*) as examples, max(length) as width,
+  sum(max_length - length)::bigint as padding
+from (select *, max(length) over (partition by split, batch_id) as max_length from numbered)
+group by split, batch_id""")
+def training_flow(spark, sf):
+    batches = training_batches(_training_table(spark, sf), pad_id=32, sort_by_length=True)
+    return batches.groupBy("split", "batch_id").agg(
+        F.count(F.lit(1)).alias("examples"),
+        F.max(F.size("input_ids")).alias("width"),
+        F.sum("n_padding").alias("padding"),
+    )

@@ -75,7 +75,14 @@ def extract_json(
     ``malformed`` (a brace, but the slice is not one JSON object). Null text counts as ``no_json``.
     """
     block = "_json_block"
-    out = df.withColumn(block, F.regexp_extract(F.col(column), r"(?s)\{.*\}", 0))
+    text = F.col(column)
+    start = F.instr(text, "{")
+    end = F.length(text) - F.instr(F.reverse(text), "}") + 1  # past the end without any
+    found = (start > 0) & (end <= F.length(text)) & (end > start)
+    # Two searches for a character: a text of braces only costs no more than any other.
+    out = df.withColumn(
+        block, F.when(found, F.substr(text, start, end - start + 1)).otherwise(F.lit(""))
+    )
     out = with_strict_object(out, block, record_type(fields), record)
     verdict = (
         F.when(~F.coalesce(F.contains(F.col(column), F.lit("{")), F.lit(False)), "no_json")

@@ -45,12 +45,18 @@ def list_checkpoints(artifacts: DataFrame) -> DataFrame:
     )
 
 
+def _one_path(checkpoints: DataFrame) -> DataFrame:
+    """One path for each run and step, the last by name, as ``_path``."""
+    return checkpoints.groupBy("run", "step").agg(F.max("path").alias("_path"))
+
+
 def latest_checkpoint(checkpoints: DataFrame) -> DataFrame:
     """The checkpoint with the highest step of every run; steps compare as numbers."""
     return (
-        checkpoints.groupBy("run")
-        .agg(F.max(F.struct("step", "path")).alias("_m"))
-        .select("run", "_m.step", "_m.path")
+        _one_path(checkpoints)
+        .groupBy("run")
+        .agg(F.max("step").alias("_step"), F.max_by("_path", "step").alias("path"))
+        .select("run", F.col("_step").alias("step"), "path")
     )
 
 

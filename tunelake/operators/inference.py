@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,43 +18,60 @@ Model = Callable[[list[str], dict], list[str]]
 _loaded: dict[str, Model] = {}
 
 
-def _model_of_process(name: str, factory: Callable[[], Model]) -> Model:
-    if name not in _loaded:
-        _loaded[name] = factory()
-    return _loaded[name]
+def _model_of_process(key: str, make: Callable[[], Model]) -> Model:
+    """The model of one call (and run); a worker holds the latest one only."""
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = make()
+    return _loaded[key]
 
 
 def batch_infer(
     prompts: DataFrame,
-    model_factory: Callable[[], Model],
+    model_factory: Callable[..., Model],
     id_column: str = "id",
     params: dict | None = None,
     batch_size: int = 32,
     partitions: int | None = None,
-    model_name: str = "model",
+    run_column: str | None = None,
 ) -> DataFrame:
-    """Run a model over ``prompt``: ``id, prompt, full_output``.
+    """Run a model over ``prompt``: the columns of ``prompts`` and ``full_output``.
 
-    The model is made by ``model_factory`` once in each Python worker process and kept under
-    ``model_name``; it gets at most ``batch_size`` prompts at a time. ``partitions`` spreads the
-    prompts evenly over that many tasks, which matters because a prompt costs far more than a row.
+    The model is made by ``model_factory`` once in each Python worker process for each call of this
+    function; it gets at most ``batch_size`` prompts at a time. ``partitions`` spreads the prompts
+    evenly over that many tasks, which matters because a prompt costs far more than a row.
+
+    With ``run_column``, ``model_factory`` gets a row's run and makes that run's model. Rows are then
+    ordered by run within tasks, so a task loads a model once for each of its runs, and range
+    partitions split a large run over several tasks.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     settings = dict(GENERATION_PARAMS, **(params or {}))
-    rows = prompts.select(id_column, "prompt")
-    if partitions:
+    call = uuid.uuid4().hex
+    rows = prompts
+    if run_column:
+        spread = [partitions] if partitions else []
+        rows = rows.repartitionByRange(*spread, run_column, id_column).sortWithinPartitions(run_column)
+    elif partitions:
         rows = rows.repartition(partitions)
 
+    def answer(part: pd.DataFrame, model: Model) -> Iterator[pd.DataFrame]:
+        for start in range(0, len(part), batch_size):
+            few = part.iloc[start : start + batch_size]
+            outputs = model(few["prompt"].tolist(), settings)
+            if len(outputs) != len(few):
+                raise ValueError("the model must give one output for each prompt")
+            yield few.assign(full_output=outputs)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _model_of_process(model_name, model_factory)
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                part = batch.iloc[start : start + batch_size]
-                outputs = model(part["prompt"].tolist(), settings)
-                if len(outputs) != len(part):
-                    raise ValueError("the model must give one output for each prompt")
-                yield part.assign(full_output=outputs)
+            if not run_column:
+                yield from answer(batch, _model_of_process(call, model_factory))
+                continue
+            for name, part in batch.groupby(run_column, sort=False, dropna=False):
+                model = _model_of_process(f"{call}:{name}", lambda name=name: model_factory(name))
+                yield from answer(part, model)
 
     schema = T.StructType([*rows.schema.fields, T.StructField("full_output", T.StringType())])
     return rows.mapInPandas(run, schema)

@@ -1,9 +1,9 @@
 """Row numbers over groups of any size.
 
-A ``row_number`` window brings a whole group to one task, which is right only for groups known to be
-small. Beyond a bound the rows are range-partitioned on group and order together, so a group that
-holds a third of the table is spread over a third of the partitions; a row's number is its place in
-its partition plus the rows of its group before it.
+Rows are range-partitioned on group and order together, so a group that holds a third of the table is
+spread over a third of the partitions; a row's number is its place in its partition plus the rows of
+its group before it. There is one plan for every size: nothing is counted beforehand and no group is
+ever brought to one task.
 """
 
 from __future__ import annotations
@@ -13,34 +13,15 @@ from pyspark.sql import functions as F
 
 from tunelake.session import written
 
-MAX_GROUP_ROWS = 1_000_000
-
 
 def rank_in_groups(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    into: str = "rn",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, group: list[str], order: list[str], into: str = "rn"
 ) -> DataFrame:
     """Add ``into``: 1, 2, 3 … within ``group`` by ``order``.
 
     ``group`` and ``order`` together should be unique; rows equal in all of them are numbered in any
-    order. The groups are counted first: where none has more than ``max_group_rows``, a window does
-    it; otherwise the rows are spread.
-    """
-    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
-    if (largest or 0) <= max_group_rows:
-        window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*order)
-        return df.withColumn(into, F.row_number().over(window).cast("bigint"))
-    return _rank_spread(df, group, order, into)
-
-
-def _rank_spread(df: DataFrame, group: list[str], order: list[str], into: str) -> DataFrame:
-    """Row numbers without ever bringing a group together.
-
-    Runs one job that writes the ordered rows to the shared folder, because the numbers must not
-    change when a lost task is run again. The number of partitions is left to adaptive execution
+    order. Runs one job that writes the ordered rows to the shared folder, because the numbers must
+    not change when a lost task is run again. The number of partitions is left to adaptive execution
     (``spark.sql.adaptive.coalescePartitions.initialPartitionNum``), which joins neighbours only.
     """
     keys = [*group, *order]
@@ -60,14 +41,10 @@ def _rank_spread(df: DataFrame, group: list[str], order: list[str], into: str) -
         .orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = written(
-        chunks.withColumn(
-            "_shift",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first"),
-        ).select(
-            *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_chunk").alias("_g_chunk"), "_shift"
-        ),
-        "offsets",
+    offsets = chunks.select(
+        *[F.col(g).alias(f"_g_{g}") for g in group],
+        F.col("_chunk").alias("_g_chunk"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift"),
     )
     same = F.col("_chunk") == F.col("_g_chunk")
     for g in group:

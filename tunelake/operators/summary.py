@@ -8,41 +8,26 @@ from pyspark.sql import functions as F
 from tunelake.constants import EPOCH, EVAL_LOSS, LEARNING_RATE
 from tunelake.operators.series import filter_tags
 
-# A place within a block of steps: the low bits of the step, then the place in what was read.
-_STEP_BITS = 14
-_ORD_BITS = 49
-
 
 def _series_facts(metrics: DataFrame) -> DataFrame:
     """First and final value, extremes, sum and number of values of every series.
 
-    First and final go by step and then by place read. Within a block of steps both fit in one whole
-    number, so each level keeps plain numbers and stays a hash aggregation; ordering by a struct
-    would sort the table. A place outside the range fails the job.
+    First and final go by step and then by place read. The values of a step are settled first, by
+    place; after that every step has one row and the step alone orders. Both levels keep plain
+    numbers and so stay hash aggregations, for places of any size.
     """
-    fits = F.col("ord").between(0, (1 << _ORD_BITS) - 1)
-    offset = F.col("step").bitwiseAND(F.lit((1 << _STEP_BITS) - 1))
-    place = F.when(
-        fits, F.shiftleft(offset, _ORD_BITS).bitwiseOR(F.col("ord"))
-    ).otherwise(F.raise_error(F.lit("ord out of range")).cast("bigint"))
-    blocks = (
-        metrics.select(
-            "run", "tag", "value", F.shiftright("step", _STEP_BITS).alias("block"), place.alias("place")
-        )
-        .groupBy("run", "tag", "block")
-        .agg(
-            F.min_by("value", "place").alias("first"),
-            F.max_by("value", "place").alias("final"),
-            F.min("value").alias("lowest"),
-            F.max("value").alias("highest"),
-            F.sum("value").alias("total"),
-            F.count("value").alias("counted"),
-            F.count(F.lit(1)).alias("rows"),
-        )
+    steps = metrics.groupBy("run", "tag", "step").agg(
+        F.min_by("value", "ord").alias("first"),
+        F.max_by("value", "ord").alias("final"),
+        F.min("value").alias("lowest"),
+        F.max("value").alias("highest"),
+        F.sum("value").alias("total"),
+        F.count("value").alias("counted"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    return blocks.groupBy("run", "tag").agg(
-        F.min_by("first", "block").alias("first_value"),
-        F.max_by("final", "block").alias("final_value"),
+    return steps.groupBy("run", "tag").agg(
+        F.min_by("first", "step").alias("first_value"),
+        F.max_by("final", "step").alias("final_value"),
         F.min("lowest").alias("min_value"),
         F.max("highest").alias("max_value"),
         F.try_divide(F.sum("total"), F.sum("counted")).alias("mean_value"),
@@ -69,14 +54,17 @@ def improvement_pct(metrics: DataFrame) -> DataFrame:
 
 
 def argmin_metric(metrics: DataFrame) -> DataFrame:
-    """Lowest value of every series and the step where it first occurs."""
-    return (
+    """Lowest value of every series and the step where it first occurs.
+
+    Equal values are settled first, so that the value alone orders and both levels hash.
+    """
+    values = (
         metrics.filter(F.col("value").isNotNull())
-        .groupBy("run", "tag")
-        .agg(F.min(F.struct("value", "step", "ord")).alias("_m"))
-        .select(
-            "run", "tag", F.col("_m.value").alias("min_value"), F.col("_m.step").alias("min_step")
-        )
+        .groupBy("run", "tag", "value")
+        .agg(F.min("step").alias("step"))
+    )
+    return values.groupBy("run", "tag").agg(
+        F.min("value").alias("min_value"), F.min_by("step", "value").alias("min_step")
     )
 
 

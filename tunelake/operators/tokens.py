@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +13,8 @@ from pyspark.sql import types as T
 
 from tunelake.constants import IGNORED_LABEL
 from tunelake.functions.text import strip
-from tunelake.operators.ranking import MAX_GROUP_ROWS, rank_in_groups
+from tunelake.operators.ranking import rank_in_groups
+from tunelake.session import written
 
 # texts in, one list of token ids for each text out
 Encode = Callable[[list[str]], list[list[int]]]
@@ -20,10 +22,12 @@ Encode = Callable[[list[str]], list[list[int]]]
 _loaded: dict[str, Encode] = {}
 
 
-def _encoder_of_process(name: str, factory: Callable[[], Encode]) -> Encode:
-    if name not in _loaded:
-        _loaded[name] = factory()
-    return _loaded[name]
+def _encoder_of_process(call: str, factory: Callable[[], Encode]) -> Encode:
+    """The encoder of one call of ``encoder_ids``; a worker keeps that of the latest call only."""
+    if call not in _loaded:
+        _loaded.clear()
+        _loaded[call] = factory()
+    return _loaded[call]
 
 
 def word_ids(text: Column, vocabulary: int = 1 << 17) -> Column:
@@ -39,12 +43,13 @@ def character_ids(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<int>")).otherwise(ids)
 
 
-def encoder_ids(text: Column, encoder_factory: Callable[[], Encode], name: str = "encoder") -> Column:
-    """Ids by a user's tokenizer, made once in each Python worker under ``name``, by Arrow batches."""
+def encoder_ids(text: Column, encoder_factory: Callable[[], Encode]) -> Column:
+    """Ids by a user's tokenizer, made once in each Python worker, by Arrow batches."""
+    call = uuid.uuid4().hex
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder_of_process(name, encoder_factory)
+        encoder = _encoder_of_process(call, encoder_factory)
         for batch in batches:
             yield pd.Series(encoder(batch.tolist()), dtype=object)
 
@@ -79,11 +84,14 @@ def batch_rows(
     order: list[str],
     length: str,
     batch_size: int = 4,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    group: list[str] = (),
 ) -> DataFrame:
-    """Consecutive batches of narrow rows: adds ``batch_id`` and ``batch_length`` (longest member)."""
-    numbered = rank_in_groups(lengths, [], order, "_rn", max_group_rows)
-    in_batch = Window.partitionBy("batch_id")
+    """Consecutive batches of narrow rows: adds ``batch_id`` and ``batch_length`` (longest member).
+
+    Each ``group`` has batches of its own, numbered from 0.
+    """
+    numbered = rank_in_groups(lengths, list(group), order, "_rn")
+    in_batch = Window.partitionBy(*group, "batch_id")
     return (
         numbered.withColumn("batch_id", F.floor((F.col("_rn") - 1) / batch_size).cast("bigint"))
         .withColumn("batch_length", F.max(length).over(in_batch))
@@ -97,20 +105,27 @@ def collate(
     pad_id: int,
     batch_size: int = 4,
     sort_by_length: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    group: list[str] = (),
 ) -> DataFrame:
     """Padded batches of tokenised examples (``key, input_ids, length``), in key order.
 
+    No batch holds rows of two values of ``group`` (such as the split). The table is written once
+    with a number for each row, because batching reads lengths first and tokens later.
+
     Every example is padded on the right to the longest of its batch; the mask is 0 on padding, and
     labels are the ids with every pad id (also one inside the text, where pad and end mark are the
     same) replaced by the ignored label. ``sort_by_length`` batches examples of like length, which
-    wastes less padding. ``key`` must be unique. Only keys and lengths are read and ordered for the
-    batches; the ids move once, to meet their batch, and masks are made where they are used.
+    wastes less padding. Rows that share a key stand next to each other, in any order. Only keys and
+    lengths are read and ordered for the batches; the ids move once, to meet their batch by the row
+    number, and masks are made where they are used.
     """
-    order = ["length", key] if sort_by_length else [key]
+    stored = written(
+        tokenised.drop("attention_mask").withColumn("_row", F.monotonically_increasing_id()), "tokens"
+    )
+    order = ["length", key, "_row"] if sort_by_length else [key, "_row"]
     batches = batch_rows(
-        tokenised.select(key, "length"), order, "length", batch_size, max_group_rows
-    ).drop("length")
+        stored.select(*group, key, "length", "_row"), order, "length", batch_size, group
+    ).select("_row", "batch_id", "batch_length")
     padding = F.col("batch_length") - F.col("length")
     masked = F.transform(
         "input_ids", lambda t: F.when(t == pad_id, F.lit(IGNORED_LABEL)).otherwise(t)
@@ -122,8 +137,8 @@ def collate(
         return F.concat(column, F.array_repeat(F.lit(value), padding))
 
     return (
-        tokenised.drop("attention_mask")
-        .join(batches, key)
+        stored.join(batches, "_row")
+        .drop("_row")
         .withColumns(
             {
                 "labels": pad(labels, IGNORED_LABEL),
@@ -135,13 +150,15 @@ def collate(
     )
 
 
-def padding_waste(collated: DataFrame) -> DataFrame:
-    """Batches, cells and the share of cells that are padding, in percent."""
-    return collated.agg(
+def padding_waste(collated: DataFrame, group: list[str] = ()) -> DataFrame:
+    """Batches, cells and the share of cells that are padding, in percent, for each ``group``."""
+    totals = [
         F.max("batch_id").alias("_last"),
         F.sum("batch_length").alias("cells"),
         F.sum("n_padding").alias("padding_cells"),
-    ).select(
+    ]
+    return collated.groupBy(*group).agg(*totals).select(
+        *group,
         (F.col("_last") + 1).alias("batches"),
         "cells",
         "padding_cells",

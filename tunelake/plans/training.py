@@ -7,8 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from tunelake.constants import RECORD_FIELDS
 from tunelake.functions.templates import format_training_text
 from tunelake.operators.tokens import collate, tokenize
-from tunelake.session import written
-from tunelake.sources.examples import load_splits, read_examples
+from tunelake.session import new_folder
+from tunelake.sources.examples import (
+    load_splits,
+    parse_example_lines,
+    read_example_lines,
+    store_examples,
+)
 
 
 def training_texts(examples: DataFrame, fields: list[str] = RECORD_FIELDS) -> DataFrame:
@@ -25,21 +30,20 @@ def prepare_training_table(
 ) -> tuple[DataFrame, DataFrame]:
     """Read each split's files; give ``(tokenised, rejects)``, both with a ``split`` column.
 
-    A single lazy plan without a shuffle: scan, parse, template, tokens.
+    Each split is read and parsed once and stored; good and rejected lines come from there, with
+    ``file_path`` and ``example_id``, which is unique in its split. Templates and tokens are a lazy
+    plan without a shuffle on top.
     """
     good, rejected = {}, {}
     for split, path in paths.items():
-        good[split], rejected[split] = read_examples(spark, path, fields)
+        parsed = parse_example_lines(read_example_lines(spark, path), "value", fields)
+        good[split], rejected[split] = store_examples(parsed, new_folder(spark, "examples"))
     texts = training_texts(load_splits(good), fields)
     return tokenize(texts, ids, max_len), load_splits(rejected)
 
 
 def training_batches(
-    tokenised: DataFrame, key: str, pad_id: int, batch_size: int = 4, **options
+    tokenised: DataFrame, pad_id: int, batch_size: int = 4, sort_by_length: bool = False
 ) -> DataFrame:
-    """Padded batches of a tokenised table that is not stored yet.
-
-    Batching reads lengths first and tokens later, so the tokens are written once between the two
-    rather than made twice. A table read from storage goes to ``collate`` as it is.
-    """
-    return collate(written(tokenised.drop("attention_mask"), "tokens"), key, pad_id, batch_size, **options)
+    """Padded batches of ``prepare_training_table``; each split has batches of its own."""
+    return collate(tokenised, "example_id", pad_id, batch_size, sort_by_length, ["split"])

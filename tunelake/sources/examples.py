@@ -90,6 +90,18 @@ def split_examples(
     return checked.drop(line, "reason"), rejects
 
 
+def read_example_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with the file they came from and a number, ``example_id``, unique over all files read.
+
+    A distributed scan has no line numbers; the number grows with the place within a file's part.
+    """
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.monotonically_increasing_id().alias("example_id"),
+    )
+
+
 def read_examples(
     spark: SparkSession,
     path: str | list[str],
@@ -97,12 +109,12 @@ def read_examples(
     mode: str = "quarantine",
     counts_name: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Read JSON-lines files: ``(good, rejects)``, both with the file each line came from.
+    """Read JSON-lines files: ``(good, rejects)``, both with the file and number of each line.
 
-    A distributed scan has no line numbers; a rejected line is kept whole with its file and reason.
+    A rejected line is kept whole with its reason. The two are separate lazy reads; a caller who
+    needs both stores them first (``store_examples``).
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    parsed = parse_example_lines(lines, "value", fields, counts_name)
+    parsed = parse_example_lines(read_example_lines(spark, path), "value", fields, counts_name)
     return split_examples(parsed, "value", mode)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunelake.operators.ranking import rank_in_groups
+
 METRICS_SCHEMA = "run string, tag string, step bigint, value double, wall_time double, ord bigint"
 
 HISTORY_TAGS = {
@@ -32,10 +34,6 @@ _CONSOLE_SCHEMA = (
     "step bigint"
 )
 
-# Sources of a merged series each get this many places; all places stay below 2**49.
-_ORD_PER_SOURCE = 1 << 42
-_MAX_SOURCES = 1 << 7
-
 
 def read_metric_events(spark: SparkSession, path: str | list[str], format: str = "parquet") -> DataFrame:
     """All metric files under the folder, at any depth, as one long table."""
@@ -107,17 +105,15 @@ def explode_metrics_map(log: DataFrame, keep: list[str], metrics: str = "metrics
 def merge_metric_sources(*sources: DataFrame) -> DataFrame:
     """Several event files of one run as one series; rows of an earlier source come first.
 
-    ``ord`` is renumbered so that it stays unique: a source may hold 2**42 places, and the job fails
-    beyond that rather than mixing two sources up.
+    ``ord`` is numbered anew in each run and tag, by source and then by the place in it, for any
+    number of sources and any places. The merged rows are written once to the shared folder.
     """
-    if not 0 < len(sources) <= _MAX_SOURCES:
-        raise ValueError(f"between 1 and {_MAX_SOURCES} sources can be merged")
-    out = None
-    for number, source in enumerate(sources):
-        fits = (F.col("ord") >= 0) & (F.col("ord") < _ORD_PER_SOURCE)
-        place = F.when(fits, F.col("ord") + F.lit(number * _ORD_PER_SOURCE)).otherwise(
-            F.raise_error(F.lit("ord outside its source's range")).cast("bigint")
-        )
-        part = source.withColumn("ord", place)
-        out = part if out is None else out.unionByName(part)
-    return out
+    if not sources:
+        raise ValueError("no source given")
+    numbered = [df.withColumn("_source", F.lit(number)) for number, df in enumerate(sources)]
+    merged = numbered[0]
+    for df in numbered[1:]:
+        merged = merged.unionByName(df)
+    places = merged.withColumnRenamed("ord", "_ord")
+    ranked = rank_in_groups(places, ["run", "tag"], ["_source", "_ord"], "ord")
+    return ranked.withColumn("ord", F.col("ord") - 1).select(*sources[0].columns)
