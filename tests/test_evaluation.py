@@ -138,3 +138,16 @@ def test_flows(make, rows):
     result = evaluate(samples, factory, fields=FIELDS)
     assert tuple(result["accuracy"].first()) == (2, 1, 50.0)
     assert rows(result["scored"], "id", "match", "raw") == [(1, True, None), (2, False, "no idea")]
+
+
+def test_match_as_python_compares(make):
+    texts = ['{"a":1}', '{"a":1.0}', '{"a":1e0}', '{"a":"1"}', '{"a":"1.0"}', '{"a":null}', "{}", '{"b":1}',
+             '{"a":"y","a":"x"}', '{"a":"x"}', '{"a":{"z":[1,2.50],"b":null}}', '{"a":{"b":null,"z":[1.0,2.5]}}',
+             '{"a":"\\u0041 \\"2.0\\""}', '{"a":"A \\"2.0\\""}', '{"a":"true"}', '{"b":2,"a":1}',
+             '{"a":1,"b":2}', '{"a":100000}', '{"a":1E5}', '{"a":-0.0}', '{"a":0}', '{"a":[]}']
+    pairs = [(x, y) for x in texts for y in texts]
+    df = make(pairs, "x string, y string")
+    got = df.select("x", "y", E.same_object(F.col("x"), F.col("y")).alias("same")).collect()
+    assert all(r["same"] == (json.loads(r["x"]) == json.loads(r["y"])) for r in got)
+    wrong = make([("nope", "nope"), (None, "{}"), ("[1]", "[1]")], "x string, y string")
+    assert not any(r[0] for r in wrong.select(E.same_object(F.col("x"), F.col("y"))).collect())

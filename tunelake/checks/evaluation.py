@@ -231,3 +231,38 @@ def grid_compare(spark, sf):
     return E.compare_runs(
         found.select("run", "doc_id", "record.*"), "older", "newer", ["doc_id"], ["stage", "response"]
     )
+
+
+# Rule, expected, predicted (p for the part's number), whether they are equal.
+_TYPED = [
+    ('{"stage":"p"}', '{"stage":p}', False),
+    ('{"stage":p}', '{"stage":p.00}', True),
+    ('{"stage":"true"}', '{"stage":true}', False),
+    ('{"stage":{"b":[p,null],"a":"x"}}', '{"stage":{"a":"x","b":[p.0,null]}}', True),
+    ('{"stage":"p","note":"a"}', '{"stage":"p","note":"b"}', False),
+    ('{"stage":"x","stage":"p"}', '{"stage":"p"}', True),
+    ('{"stage":"p.0"}', '{"stage":"p"}', False),
+    ('{"note":p,"stage":null}', '{"stage":null,"note":p}', True),
+]
+
+
+def _cases(side: int) -> str:
+    return " ".join(
+        f"when p_partkey % {len(_TYPED)} = {rule} then replace('{pair[side]}', 'p', p_partkey::string)"
+        for rule, pair in enumerate(_TYPED)
+    )
+
+
+@query("typed_match", "select p_partkey as id, case " + " ".join(
+    f"when p_partkey % {len(_TYPED)} = {rule} then {equal} when false then false"
+    for rule, (_, _, equal) in enumerate(_TYPED)
+) + """ end as match,
+  case when p_partkey % 8 = 4 then true when p_partkey % 8 in (0, 2, 6) then false else true end as stage_match
+from part""")
+def typed_match(spark, sf):
+    part = X.table(spark, sf, "part")
+    expected = part.selectExpr("p_partkey as id", f"case {_cases(0)} end as expected_json")
+    predicted = part.selectExpr("p_partkey as id", f"case {_cases(1)} end as predicted_json")
+    return E.score_predictions(expected, predicted, ["id"], ["stage"]).select(
+        "id", "match", "stage_match"
+    )

@@ -11,8 +11,43 @@ from tunelake.functions.strict_json import parse_or_error, record_type, with_str
 STATUSES = ["ok", "empty", "no_json", "malformed"]
 
 
-def _sorted_keys(json: Column) -> Column:
-    return F.array_sort(F.json_object_keys(json))
+# A string, or a number that ends in zeros behind its point.
+_STRING_OR_WHOLE = r'("(?:[^"\\]|\\.)*+")|(-?[0-9]+)\.0++(?![0-9Ee])'
+
+
+def object_members(json: Column) -> Column:
+    """The members of a JSON object by key: ``key`` and ``value`` as JSON in one fixed form.
+
+    Values keep their type; numbers are written by value (``1.0`` as ``1``), inner objects in key
+    order. Of a key that stands twice the last one counts, as Python has it. Null where the text is
+    no object, or an inner object holds a key twice.
+    """
+    members = F.map_entries(F.from_json(json, "map<string, variant>"))
+
+    def last_ones(all_: Column) -> Column:
+        return F.filter(
+            all_,
+            lambda m, i: ~F.exists(
+                F.slice(all_, i + 2, F.size(all_)), lambda later: later["key"] == m["key"]
+            ),
+        )
+
+    last = F.get(F.transform(F.array(members), last_ones), F.lit(0))
+    return F.array_sort(
+        F.transform(
+            last,
+            lambda m: F.struct(
+                m["key"].alias("key"),
+                F.regexp_replace(F.to_json(m["value"]), _STRING_OR_WHOLE, "$1$2").alias("value"),
+            ),
+        )
+    )
+
+
+def _member(members: Column, key: str) -> Column:
+    """The value of a member; null where it is ``null`` or not there."""
+    value = F.get(F.filter(members, lambda m: m["key"] == key), F.lit(0))["value"]
+    return F.nullif(value, F.lit("null"))
 
 
 def score_predictions(
@@ -24,6 +59,8 @@ def score_predictions(
     """Compare ``expected_json`` with ``predicted_json`` for each key.
 
     ``match`` is true where both are objects with the same keys and equal values, in any key order.
+    Values are compared with their types: ``"4"`` is not ``4``, ``1.0`` is ``1``. Each prediction of
+    a key is a sample of its own; a caller who wants one for each key drops the others first.
     A missing or unparsable prediction does not match. ``<field>_match`` compares single fields; a
     field that both leave null or out is equal, and no prediction is no match.
     Result: key, ``match``, the field columns, ``error``, ``raw``.
@@ -35,25 +72,22 @@ def score_predictions(
     parsed = parse_or_error(parsed, "predicted_json", fields, "predicted")
     expected_record, predicted_record = F.col("expected"), F.col("predicted")
     usable = expected_record.isNotNull() & predicted_record.isNotNull()
+    own, other = F.col("_expected_members"), F.col("_predicted_members")
     field_match = {
-        f"{f}_match": usable & expected_record[f].eqNullSafe(predicted_record[f]) for f in fields
+        f"{f}_match": usable & _member(own, f).eqNullSafe(_member(other, f)) for f in fields
     }
-    all_match = usable
-    for test in field_match.values():
-        all_match = all_match & test
-    same_keys = _sorted_keys(F.col("expected_json")) == _sorted_keys(F.col("predicted_json"))
     return (
-        parsed.withColumns(field_match)
-        .withColumn("match", F.when(all_match, same_keys).otherwise(F.lit(False)))
+        parsed.withColumn("_expected_members", object_members(F.col("expected_json")))
+        .withColumn("_predicted_members", object_members(F.col("predicted_json")))
+        .withColumns(field_match)
+        .withColumn("match", usable & F.coalesce(own == other, F.lit(False)))
         .select(*key, "match", *field_match, "error", "raw")
     )
 
 
 def same_object(left: Column, right: Column) -> Column:
     """Whether two JSON objects of any keys are equal, whatever the key order."""
-    return F.coalesce(
-        F.to_json(F.try_parse_json(left)) == F.to_json(F.try_parse_json(right)), F.lit(False)
-    )
+    return F.coalesce(object_members(left) == object_members(right), F.lit(False))
 
 
 def exact_match_accuracy(scored: DataFrame) -> DataFrame:
