@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tunelake.operators import catalog as C
 from tunelake.sources import artifacts as A
-from tunelake.sources.sinks import write_eval_results, write_run_partitioned
+from tunelake.sources.sinks import write_eval_results, write_run_partitioned, write_runs_partitioned
 
 PATHS = [
     "m/20251110_120000/final_model/adapter_config.json",
@@ -85,16 +85,17 @@ def test_existence(artifacts):
 
 
 def test_listing_and_manifest(spark, tmp_path, rows):
-    for name in ("final_model/a.bin", "final_model/.git/b", "c.txt"):
+    for name in ("final_model/a.bin", "final_model/.git/b", "c.txt", "_x.json", "skip/.hid/d"):
         target = tmp_path / name
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_text("x" * 7)
     files = A.list_artifacts(spark, str(tmp_path))
     root = files.select(F.regexp_extract("path", "(.*)/c.txt", 1).alias("r")).filter("r <> ''").first()["r"]
-    out = A.artifact_manifest(files, root, "models/x", exclude=[".git"])
-    assert rows(out, "key", "length") == [("models/x/c.txt", 7), ("models/x/final_model/a.bin", 7)]
-    scan = files._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in scan.split("ReadSchema")[-1]
+    out = A.artifact_manifest(files, root, "models/x", exclude=[".git", "skip"])
+    assert rows(out, "key", "length") == [
+        ("models/x/_x.json", 7), ("models/x/c.txt", 7), ("models/x/final_model/a.bin", 7)
+    ]
+    assert files.count() == 5 and files.filter("modificationTime is null").isEmpty()
 
 
 def test_cleanup(artifacts, rows):
@@ -115,6 +116,15 @@ def test_run_is_never_overwritten(make, spark, tmp_path):
     assert spark.read.parquet(base).select("run").distinct().count() == 2
 
 
+def test_runs_are_never_overwritten(make, spark, tmp_path):
+    base = str(tmp_path / "out")
+    write_runs_partitioned(make([("a", 1), ("b", 2)], "run string, x int"), base)
+    write_runs_partitioned(make([("c", 3)], "run string, x int"), base)
+    with pytest.raises(FileExistsError):
+        write_runs_partitioned(make([("d", 4), ("b", 2)], "run string, x int"), base)
+    assert sorted(r["run"] for r in spark.read.parquet(base).collect()) == ["a", "b", "c"]
+
+
 def test_results_keep_nulls(make, tmp_path):
     path = tmp_path / "r"
     write_eval_results(make([("a", None)], "id string, predicted string"), str(path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from tunelake.checks import fixtures as X
@@ -18,7 +19,7 @@ from tunelake.sources.artifacts import (
     relative_keys,
     with_run,
 )
-from tunelake.sources.sinks import write_run_partitioned
+from tunelake.sources.sinks import write_runs_partitioned
 
 ART = f"""
 n as (
@@ -222,19 +223,49 @@ def relative(spark, sf):
     return relative_keys(_pages(spark, sf), "pages").select("path", "relative")
 
 
-@query("list_artifacts", f"with {M} select run, count(distinct step) > 0 as has_files from k group by run")
+_NAMES = """files as (
+  select case page_id % 4 when 0 then '.git' || page_id when 1 then '_part' || page_id
+    when 2 then 'sub/.hid/f' || page_id else 'f' || page_id end as path, length(url) + 1 as length
+  from pages where page_id % 4 is not null)"""
+
+
+@query("list_artifacts", f"with {_NAMES} select path, length::bigint as length from files")
 def files_on_disk(spark, sf):
+    """One file for each page, hidden names among them, written by the tasks and listed again."""
     folder = new_folder(spark, "files")
-    X.metrics(spark, sf).filter("tag <> 'train/grad_norm'").write.partitionBy("run").parquet(folder)
-    files = list_artifacts(spark, folder).filter(F.col("length") > 0)
-    run = F.regexp_extract("path", r"/run=([^/]+)/", 1)
-    return files.groupBy(run.alias("run")).agg((F.count(F.lit(1)) > 0).alias("has_files"))
+    name = F.col("page_id").cast("string")
+    number = F.col("page_id") % 4
+    files = X.table(spark, sf, "pages").select(
+        F.when(number == 0, F.concat(F.lit(".git"), name))
+        .when(number == 1, F.concat(F.lit("_part"), name))
+        .when(number == 2, F.concat(F.lit("sub/.hid/f"), name))
+        .otherwise(F.concat(F.lit("f"), name))
+        .alias("path"),
+        "url",
+    )
+
+    def write(batches):
+        for batch in batches:
+            system, inside = fs.FileSystem.from_uri(folder if "://" in folder else _local(folder))
+            for path, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                target = f"{inside}/{path}"
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(target) as file:
+                    file.write((url + "\n").encode())
+            yield batch.select(["path"])
+
+    files.mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+    listed = list_artifacts(spark, folder)
+    return listed.select(F.regexp_extract("path", r"/files-[0-9a-f]+/(.*)$", 1).alias("path"), "length")
+
+
+def _local(folder: str) -> str:
+    return folder.removeprefix("file:")
 
 
 @query("run_partitioned_write", f"with {M} select run, tag, step, value, ord from k")
 def partitioned(spark, sf):
     base = new_folder(spark, "runs")
     rows = X.metrics(spark, sf).filter("tag <> 'train/grad_norm'").drop("wall_time")
-    for run in ("r0", "r1", "r2", "r3", "r4"):
-        write_run_partitioned(rows.filter(F.col("run") == run).drop("run"), base, run)
+    write_runs_partitioned(rows, base)
     return spark.read.parquet(base)

@@ -2,20 +2,62 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.functions.paths import artifact_key, contains_any, relative_key, run_started_at
+from tunelake.session import ship_package, written
+
+
+_LISTED = "path string, is_folder boolean, length long, modificationTime timestamp"
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of each folder, every name among them."""
+    for batch in batches:
+        found: list[list] = [[], [], [], []]
+        for folder in batch.column(0).to_pylist():
+            system, inside = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
+            for entry in system.get_file_info(fs.FileSelector(inside)):
+                cells = (
+                    f"{folder.rstrip('/')}/{entry.base_name}",
+                    entry.type == fs.FileType.Directory,
+                    entry.size or 0,
+                    entry.mtime,
+                )
+                for column, cell in zip(found, cells):
+                    column.append(cell)
+        kinds = (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(found, kinds)],
+            names=["path", "is_folder", "length", "modificationTime"],
+        )
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Every file under a folder: ``path, length, modificationTime``; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length", "modificationTime")
-    )
+    """Every file under a folder, at any depth: ``path, length, modificationTime``.
+
+    Names that begin with a dot or an underscore are there too. Folders are listed in the tasks, one
+    level after the other, and each level is written once, so no listing is held by the driver. For a
+    store that keeps an inventory of its objects, that table serves as listing itself.
+    """
+    ship_package(spark)
+    start = root if re.match("[A-Za-z][A-Za-z0-9+.-]*:", root) else "file:" + os.path.abspath(root)
+    folders = spark.createDataFrame([(start.rstrip("/"),)], "path string")
+    files = None
+    while True:
+        listed = written(folders.repartition("path").mapInArrow(_list_folders, _LISTED), "listing")
+        here = listed.filter(~F.col("is_folder")).drop("is_folder")
+        files = here if files is None else files.unionByName(here)
+        folders = listed.filter("is_folder").select("path")
+        if folders.isEmpty():
+            return files
 
 
 def exclude_paths(artifacts: DataFrame, patterns: list[str], path: str = "path") -> DataFrame:
