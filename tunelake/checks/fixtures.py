@@ -1,6 +1,7 @@
 """Test inputs: the shapes the operators read, derived row by row from the given tables.
 
-No derivation shuffles, so a query's cost is the operator's own and grows with its table.
+No derivation but ``trainer_states`` and ``checkpoints`` shuffles, so a query's cost is mostly the
+operator's own and grows with its table.
 """
 
 from __future__ import annotations

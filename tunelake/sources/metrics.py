@@ -6,7 +6,7 @@ of several values for one step came first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.operators.ranking import rank_in_groups
@@ -29,20 +29,30 @@ TRAINER_STATE_SCHEMA = (
     "best_metric double, best_model_checkpoint string, epoch double, global_step bigint, "
     f"total_flos double, train_batch_size int, log_history array<{_HISTORY_ROW}>"
 )
-_CONSOLE_SCHEMA = (
-    "loss double, eval_loss double, learning_rate double, epoch double, eval_runtime double, "
-    "step bigint"
-)
-
-
-def read_metric_events(spark: SparkSession, path: str | list[str], format: str = "parquet") -> DataFrame:
-    """All metric files under the folder, at any depth, as one long table."""
-    return (
+def read_metric_events(
+    spark: SparkSession,
+    path: str | list[str],
+    format: str = "parquet",
+    places_of_file: bool = False,
+) -> DataFrame:
+    """All metric files under the folder, at any depth, as one long table.
+
+    ``ord`` is taken from the files. With ``places_of_file`` it holds within one file only, as where
+    several writers each counted from 0; it is then numbered anew, file by file in order of name, and
+    the rows are written once to the shared folder.
+    """
+    events = (
         spark.read.schema(METRICS_SCHEMA)
         .option("recursiveFileLookup", "true")
         .format(format)
         .load(path)
     )
+    if not places_of_file:
+        return events
+    columns = events.columns
+    events = events.withColumn("_file", F.col("_metadata.file_path")).withColumnRenamed("ord", "_ord")
+    ranked = rank_in_groups(events, ["run", "tag"], ["_file", "_ord"], "ord")
+    return ranked.withColumn("ord", F.col("ord") - 1).select(*columns)
 
 
 def _long(rows: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:
@@ -74,27 +84,92 @@ def trainer_state_header(states: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def read_trainer_state(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Trainer-state documents: ``(headers, metrics)``, keyed by the folder they lie in."""
+    """Trainer-state documents: ``(headers, metrics)``.
+
+    ``run`` is the folder above ``checkpoint-N``, or the document's own folder where it lies in none.
+    The metrics have the columns of all metric sources, without wall times. Every checkpoint of a run
+    holds the whole history so far; of each only the steps after the checkpoint before are taken.
+    """
+    file = F.col("_metadata.file_path")
     states = (
         spark.read.option("multiLine", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "trainer_state.json")
         .schema(TRAINER_STATE_SCHEMA)
         .json(path)
+        .withColumn("folder", F.regexp_replace(file, r"/[^/]*$", ""))
+        .withColumn("run", F.regexp_extract(file, r"/([^/]+?)(?:/checkpoint-[0-9]+)?/[^/]*$", 1))
+        .withColumn(
+            "_number",
+            F.coalesce(
+                F.try_to_number(F.regexp_extract(file, r"/checkpoint-([0-9]+)/[^/]*$", 1), F.lit("9" * 18)),
+                F.col("global_step"),
+            ).cast("bigint"),
+        )
+    )
+    headers = trainer_state_header(states, ["run", "folder"])
+    # One row for each checkpoint of a run.
+    before = Window.partitionBy("run").orderBy("_number", "folder")
+    starts = states.select("run", "folder", "_number").select(
+        F.col("folder").alias("_folder"), F.lag("_number").over(before).alias("_from")
+    )
+    metrics = (
+        explode_trainer_state(states, ["run", "folder"])
+        .join(starts, F.col("folder") == F.col("_folder"))
+        .filter(F.col("_from").isNull() | (F.col("step") > F.col("_from")))
+        .select("run", "tag", "step", "value", F.lit(None).cast("double").alias("wall_time"), "ord")
+    )
+    return headers, metrics
+
+
+def _console_records(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
+    """``keep``, the line, ``_values`` by name, and the ``reason`` why it is no metric, if it is none."""
+    text = F.col(line)
+    seal = F.xxhash64(text).cast("string")
+    wrapped = F.concat(F.lit('{"v":['), text, F.lit('],"seal":"'), seal, F.lit('"}'))
+    parsed = F.from_json(wrapped, "v array<map<string, double>>, seal string")
+    whole = (F.size(F.col("_p.v")) == 1) & (F.col("_p.seal") == seal)
+    return (
+        lines.select(*keep, text, parsed.alias("_p"))
+        .withColumn("_values", F.when(whole, F.get("_p.v", F.lit(0))))
         .withColumn(
-            "folder", F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
+            "reason",
+            F.when(F.col("_values").isNull(), "no_record").when(F.col("_values")["step"].isNull(), "no_step"),
         )
+        .drop("_p")
     )
-    return trainer_state_header(states, ["folder"]), explode_trainer_state(states, ["folder"])
 
 
 def parse_console_metrics(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
     """Console lines such as ``{'loss': 2.8, 'step': 10}`` as long metrics: ``keep, step, tag, value``.
 
-    Lines that are no such dictionary, or have no step, give no row.
+    Every number in the record but the step gives a row; names without a tag of their own are the tag.
+    Lines that are not exactly one such record, or have no step, are ``console_rejects``.
     """
-    parsed = lines.withColumn("_m", F.from_json(F.col(line), _CONSOLE_SCHEMA)).select(*keep, "_m.*")
-    return _long(parsed, [*keep, "step"], HISTORY_TAGS).filter(F.col("step").isNotNull())
+    tags = F.create_map(*(F.lit(x) for pair in HISTORY_TAGS.items() for x in pair))
+    records = _console_records(lines, line, keep).filter(F.col("reason").isNull())
+    cells = records.select(
+        *keep, F.col("_values")["step"].cast("bigint").alias("step"), F.explode("_values").alias("_name", "value")
+    )
+    return cells.filter((F.col("_name") != "step") & F.col("value").isNotNull()).select(
+        *keep, "step", F.coalesce(tags[F.col("_name")], "_name").alias("tag"), "value"
+    )
+
+
+def console_rejects(lines: DataFrame, line: str, keep: list[str]) -> DataFrame:
+    """The lines that give no metric, with the reason: ``no_record`` or ``no_step``."""
+    return _console_records(lines, line, keep).filter(F.col("reason").isNotNull()).drop("_values")
+
+
+def read_console_metrics(
+    lines: DataFrame, line: str, run: str, place: str
+) -> tuple[DataFrame, DataFrame]:
+    """``(metrics, rejects)`` of console lines with their run and place, in the shape of all sources."""
+    metrics = parse_console_metrics(lines, line, [run, place]).select(
+        F.col(run).alias("run"), "tag", "step", "value", F.lit(None).cast("double").alias("wall_time"),
+        F.col(place).cast("bigint").alias("ord"),
+    )
+    return metrics, console_rejects(lines, line, [run, place])
 
 
 def explode_metrics_map(log: DataFrame, keep: list[str], metrics: str = "metrics") -> DataFrame:
