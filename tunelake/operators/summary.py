@@ -9,7 +9,7 @@ from tunelake.constants import EPOCH, EVAL_LOSS, LEARNING_RATE
 from tunelake.operators.series import filter_tags
 
 
-def _series_facts(metrics: DataFrame) -> DataFrame:
+def series_facts(metrics: DataFrame) -> DataFrame:
     """First and final value, extremes, sum and number of values of every series.
 
     First and final go by step and then by place read. The values of a step are settled first, by
@@ -35,9 +35,14 @@ def _series_facts(metrics: DataFrame) -> DataFrame:
     )
 
 
+def summary_of(facts: DataFrame) -> DataFrame:
+    """The summary in ``series_facts``."""
+    return facts.drop("first_value", "rows")
+
+
 def summarise_metrics(metrics: DataFrame) -> DataFrame:
     """Final value (the last one read at the last step), minimum, maximum and mean of every series."""
-    return _series_facts(metrics).drop("first_value", "rows")
+    return summary_of(series_facts(metrics))
 
 
 def improvement_pct(metrics: DataFrame) -> DataFrame:
@@ -45,9 +50,14 @@ def improvement_pct(metrics: DataFrame) -> DataFrame:
 
     Tags with ``loss`` in their name and more than one value; null where the first value is zero.
     """
+    return improvement_of(series_facts(metrics.filter(F.contains(F.lower("tag"), F.lit("loss")))))
+
+
+def improvement_of(facts: DataFrame) -> DataFrame:
+    """The improvement in ``series_facts``."""
     fell = F.try_divide(F.col("first_value") - F.col("final_value"), F.col("first_value"))
     return (
-        _series_facts(metrics.filter(F.contains(F.lower("tag"), F.lit("loss"))))
+        facts.filter(F.contains(F.lower("tag"), F.lit("loss")))
         .filter(F.col("rows") > 1)
         .select("run", "tag", "first_value", "final_value", (fell * 100).alias("improvement_pct"))
     )
@@ -72,7 +82,7 @@ def peak_and_final(metrics: DataFrame) -> DataFrame:
     """Peak and final learning rate and final epoch of every run."""
     rate, epoch = F.col("tag") == LEARNING_RATE, F.col("tag") == EPOCH
     return (
-        _series_facts(filter_tags(metrics, [LEARNING_RATE, EPOCH]))
+        series_facts(filter_tags(metrics, [LEARNING_RATE, EPOCH]))
         .groupBy("run")
         .agg(
             F.max(F.when(rate, F.col("max_value"))).alias("peak_learning_rate"),

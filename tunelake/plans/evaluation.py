@@ -45,7 +45,8 @@ def evaluate(
 ) -> dict[str, DataFrame]:
     """Score a model on samples with ``instruction, input, expected_json``.
 
-    Model outputs are written once: they are by far the dearest step and feed every table.
+    Model outputs are written once: they are by far the dearest step. So are the scores, which feed
+    every table.
     """
     prompts = samples.select(
         id_column, chat_prompt(F.col("instruction"), F.col("input")).alias("prompt")
@@ -56,7 +57,7 @@ def evaluate(
     predicted = outputs.select(
         id_column, after_last_marker(F.col("full_output"), ASSISTANT_MARKER).alias("predicted_json")
     )
-    scored = score_predictions(samples, predicted, [id_column], fields)
+    scored = written(score_predictions(samples, predicted, [id_column], fields), "scores")
     return {
         "scored": scored,
         "accuracy": exact_match_accuracy(scored),

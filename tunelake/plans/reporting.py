@@ -8,20 +8,22 @@ from tunelake.constants import CORE_TAGS
 from tunelake.operators.catalog import latest_run
 from tunelake.operators.gap import gap_summary, overfit_flags, train_eval_gap
 from tunelake.operators.series import filter_tags, pivot_metrics
-from tunelake.operators.summary import argmin_metric, improvement_pct, summarise_metrics
+from tunelake.operators.summary import argmin_metric, improvement_of, series_facts, summary_of
 from tunelake.session import written
 
 
 def run_report(metrics: DataFrame, tags: list[str] = CORE_TAGS) -> dict[str, DataFrame]:
     """Summary, improvement, lowest values, gap, its trend, overfitting flags and the wide table.
 
-    The gap table is written once because two further tables are made from it.
+    The facts of the series and the gap table are written once because further tables are made from
+    them.
     """
     kept = filter_tags(metrics, tags)
+    facts = written(series_facts(kept), "facts")
     gap = written(train_eval_gap(kept), "gap")
     return {
-        "summary": summarise_metrics(kept),
-        "improvement": improvement_pct(kept),
+        "summary": summary_of(facts),
+        "improvement": improvement_of(facts),
         "lowest": argmin_metric(kept),
         "gap": gap,
         "gap_summary": gap_summary(gap),

@@ -73,14 +73,14 @@ def run_state(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _attempts(spark: SparkSession, base: str) -> list[int]:
-    """Numbers of the attempt folders under ``base``."""
+def _numbers(spark: SparkSession, base: str, prefix: str) -> list[int]:
+    """Numbers of the folders under ``base`` whose names begin with ``prefix``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(base)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return []
     names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return sorted(int(n.rpartition("-")[2]) for n in names if n.startswith("attempt-"))
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
 def attempt_folder(spark: SparkSession, base: str, resume: bool = True) -> str:
@@ -89,7 +89,7 @@ def attempt_folder(spark: SparkSession, base: str, resume: bool = True) -> str:
     Resuming takes the highest numbered attempt; starting fresh takes the next number and leaves the
     earlier ones as they are.
     """
-    numbers = _attempts(spark, base)
+    numbers = _numbers(spark, base, "attempt-")
     latest = numbers[-1] if numbers else 0
     number = latest if resume and numbers else latest + 1
     return f"{base.rstrip('/')}/attempt-{number}"
@@ -116,14 +116,35 @@ def append_available(stream: DataFrame, folder: str) -> DataFrame:
 def update_available(stream: DataFrame, folder: str, keys: list[str]) -> DataFrame:
     """Process what is there now in update mode and give the latest row of every key.
 
-    Each micro-batch writes its changed rows to a folder of its own number, so that a batch run again
-    after a failure replaces its own rows only.
+    Each micro-batch folds its changed rows into the table of the batch before and writes the whole,
+    one row for each key, to a folder of its own number; so a batch run again after a failure replaces
+    its own table only, and readers take the newest. Tables before the last two are removed.
     """
     spark = stream.sparkSession
     output = f"{folder}/output"
 
+    def table(number: int, name: str = "batch") -> DataFrame:
+        return spark.read.schema(stream.schema).parquet(f"{output}/{name}={number}")
+
+    def remove(number: int, name: str = "batch") -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{output}/{name}={number}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
     def save(rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        rows.write.mode("overwrite").parquet(f"{output}/changed={number}")
+        rows = table(number, "changed")
+        earlier = [n for n in _numbers(spark, output, "batch=") if n < number]
+        folded = rows
+        if earlier:
+            before, changed = table(earlier[-1]), rows.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = F.lit(True)
+            for key in keys:
+                same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+            folded = before.join(changed, same, "left_anti").unionByName(rows)
+        folded.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        remove(number, "changed")
+        for old in earlier[:-1]:
+            remove(old)
 
     query = (
         stream.writeStream.foreachBatch(save)
@@ -133,10 +154,7 @@ def update_available(stream: DataFrame, folder: str, keys: list[str]) -> DataFra
         .start()
     )
     query.awaitTermination()
-    values = [c for c in stream.columns if c not in keys]
-    return (
-        spark.read.parquet(output)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch").alias("_latest"))
-        .select(*keys, "_latest.*")
-    )
+    numbers = _numbers(spark, output, "batch=")
+    if not numbers:
+        return spark.createDataFrame([], stream.schema)
+    return table(numbers[-1])
