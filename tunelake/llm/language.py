@@ -5,8 +5,8 @@ For each language l the posterior is
     P(l | all)  ~  P(l | host) * P(text | l) * P(declared | l)
 
 - ``P(text | l)``: byte trigrams of the lower-cased letters. The trigram probabilities are fitted on a
-  bounded sample of labelled rows (``TRAIN_ROWS``, the rows with the smallest hash of their text);
-  overlapping trigrams are no independent evidence, so the log-likelihood counts by a third. In a
+  bounded random sample of labelled rows (``TRAIN_ROWS``, drawn with a fixed seed); overlapping
+  trigrams are no independent evidence, so the log-likelihood counts by a third. In a
   further class, ``und``, all trigrams are equally likely: what fits it better is in none of the
   languages. A text in two of them fits either one better than that.
 - ``P(declared | l)``: how often texts of l are declared as each language, from all rows.
@@ -72,12 +72,13 @@ def primary_language(tag: Column) -> Column:
 
 def fit(df: DataFrame, text: str, label: str, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and the log-probabilities of the trigram classes; the last row is that of ``und``."""
-    sample = (
-        df.select(F.col(text).alias("t"), primary_language(F.col(label)).alias("l"))
-        .filter("t is not null and l is not null and l <> ''")
-        .orderBy(F.xxhash64("t"), "t", "l")
-        .limit(rows)
+    labelled = df.select(F.col(text).alias("t"), primary_language(F.col(label)).alias("l")).filter(
+        "l is not null and l <> ''"
     )
+    # Sampled first, so that the limit, which gathers its rows, gathers few more than it keeps.
+    share = min(1.0, 1.05 * rows / max(1, labelled.count()))
+    sample = labelled if share == 1 else labelled.sample(share, seed=1)
+    sample = sample.filter("t is not null").limit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
