@@ -10,23 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from tunelake.session import ship_package
 
 
+#: Rows of a batch that are worked on at a time.
+ROWS = 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``ROWS`` at most at a time: few Python objects, however many rows a task has."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
-    """Run ``function`` on each Arrow batch of ``df`` in the Python workers.
-
-    Batches hold a bounded number of rows and bytes, so a task's memory does not grow with its rows.
-    """
+    """Run ``function`` on small Arrow batches of ``df`` in the Python workers."""
     ship_package(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield function(batch)
+        yield from map(function, small_batches(batches))
 
     return df.mapInArrow(each, schema)
 

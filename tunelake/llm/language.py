@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunelake.llm.common import small_batches
 from tunelake.session import ship_package
 
 #: Labelled rows that the trigram probabilities are fitted on.
@@ -62,7 +63,7 @@ def trigrams(text: str) -> np.ndarray:
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(lambda batches: function(small_batches(batches)), schema)
 
 
 def primary_language(tag: Column) -> Column:

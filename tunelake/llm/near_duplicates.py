@@ -42,7 +42,7 @@ from tunelake.session import written
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, SAMPLED = 32, 4
 #: Words whose hash a worker keeps, and k-mers that are hashed at a time.
-CACHED_WORDS, AT_ONCE = 500_000, 1 << 14
+CACHED_WORDS, AT_ONCE = 100_000, 1 << 13
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xBF58476D1CE4E5B9)

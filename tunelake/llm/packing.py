@@ -60,7 +60,7 @@ class WordTokens:
     outside a plain range, or with the strings of special tokens, go to the library whole.
     """
 
-    def __init__(self, file: str) -> None:
+    def __init__(self, file: str, cached_words: int = CACHED_WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(file)
         special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
@@ -72,6 +72,7 @@ class WordTokens:
         self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[str, bytes] = {}
+        self._cached_words = cached_words
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -136,7 +137,7 @@ class WordTokens:
             plain.append(words)
             new.update(set(words).difference(self._known))
         learnt = self._learn(new)
-        if len(self._known) + len(learnt) > CACHED_WORDS:
+        if len(self._known) + len(learnt) > self._cached_words:
             used = {w for words in plain if words for w in words}
             self._known = {w: self._known[w] for w in used.intersection(self._known)}
         self._known.update(learnt)
@@ -149,9 +150,9 @@ class WordTokens:
         return ids
 
 
-@lru_cache(maxsize=2)
-def _worker_tokens(file: str) -> WordTokens:
-    return WordTokens(file)
+@lru_cache(maxsize=1)
+def _worker_tokens(file: str, cached_words: int) -> WordTokens:
+    return WordTokens(file, cached_words)
 
 
 def _portions(texts: list[str], characters: int) -> Iterator[tuple[int, int]]:
@@ -173,8 +174,12 @@ def token_pieces(
     tokenizer_file: str | None = None,
     capacity: int = CAPACITY,
     end_id: int = END_ID,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
-    """One row for each piece: key, piece, start, length, ids (little-endian unsigned 32 bit)."""
+    """One row for each piece: key, piece, start, length, ids (little-endian unsigned 32 bit).
+
+    A worker keeps the ids of ``cached_words`` words, about 250 bytes each: fewer take longer.
+    """
     file = tokenizer_file or public_tokenizers.path("word_bpe_49k.json")
     schema = T.StructType(
         [
@@ -188,7 +193,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = _worker_tokens(file)
+        tokens = _worker_tokens(file, cached_words)
         texts = [value or "" for value in batch.column(text).to_pylist()]
         rows, pieces, starts, lengths, ids = [], [], [], [], []
         for low, high in _portions(texts, CHARACTERS):

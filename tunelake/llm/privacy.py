@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunelake.llm.common import small_batches
 from tunelake.session import ship_package, written
 
 NEAR_WORDS, NEAR_CHARACTERS, SHORTEST_TERM = 5, 200, 3
@@ -123,7 +124,7 @@ def _terms_near(text: str, span: Span, spans: list[Span]) -> list[str]:
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(lambda batches: function(small_batches(batches)), schema)
 
 
 def mentions(df: DataFrame, text: str = "text") -> DataFrame:
