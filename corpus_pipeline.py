@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tunelake.llm import language, near_duplicates, packing, privacy, quality
 from tunelake.session import written
 
+#: Words that a worker keeps for packing; less than for packing alone, as stages share the workers.
+CACHED_WORDS = 250_000
+
 #: No stage of it can be written as SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
@@ -57,7 +60,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the place of each document's pieces in sequences of bounded length."""
-    return packing.pack(docs)
+    return packing.pack(docs, cached_words=CACHED_WORDS)
 
 
 STAGES = [

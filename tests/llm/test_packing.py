@@ -117,9 +117,8 @@ def test_ids_as_the_library(library):
         assert np.frombuffer(raw, "<u4").tolist() == library(text), repr(text)
 
 
-def test_words_are_forgotten_and_learnt_again(library, monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
-    tokens = packing.WordTokens(FILE)
+def test_words_are_forgotten_and_learnt_again(library):
+    tokens = packing.WordTokens(FILE, 5)
     for text in ["one two three four", "two five six seven", "eight two nine one one"] * 2:
         assert np.frombuffer(tokens.encode([text])[0], "<u4").tolist() == library(text)
 
