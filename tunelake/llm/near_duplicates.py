@@ -202,7 +202,9 @@ def _buckets(nodes: DataFrame) -> DataFrame:
         "node", F.explode("sketch").alias("bucket")
     )
     shared = values.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(values.join(shared, "bucket"), "buckets")
+    # Written first: a join of two tables can be split where one bucket is large, one with an
+    # aggregate under it cannot.
+    members = written(values.join(written(shared, "shared"), "bucket"), "buckets")
     weights = members.groupBy(F.col("node").alias("_n")).agg(F.sum("size").alias("weight"))
     return written(
         members.join(weights, F.col("node") == F.col("_n")).select("bucket", "node", "weight"),
@@ -314,7 +316,7 @@ def _classes_of_nodes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
             .select(F.col("bucket").alias("_b"), "hub")
         )
         state = written(
-            state.join(hubs, F.col("bucket") == F.col("_b")).drop("_b"), "rounds"
+            state.join(written(hubs, "hubs"), F.col("bucket") == F.col("_b")).drop("_b"), "rounds"
         )
         rest = state.filter(F.col("node") != F.col("hub.node"))
         pairs = (
