@@ -21,7 +21,6 @@ empty table gives an empty table; ``find`` leaves other columns out, ``sanitise`
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 import zlib
 from collections import Counter
