@@ -60,7 +60,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the place of each document's pieces in sequences of bounded length."""
-    return packing.pack(docs, cached_words=CACHED_WORDS)
+    return packing.pack(docs, cached_words=CACHED_WORDS, release=True)
 
 
 STAGES = [

@@ -242,17 +242,16 @@ def identify(
     tag = primary_language(F.col(declared)) if declared else none
     other = F.when(tag.isin(languages or [""]), tag).when(tag.isNotNull(), F.lit("?"))
     rows = df.select(
-        *kept, other.alias("_declared"), (F.col(host) if host else none).alias("_host"),
-        F.col(text).alias("_text"),
+        *kept, other.alias("_declared"), (F.col(host) if host else none).alias("_host")
     )
-    slim = _scored(rows.select("_text", "_declared", "_host"), "_text", languages, table)
+    slim = _scored(rows.select(text, "_declared", "_host"), text, languages, table)
     levels = host_levels(slim, size)
     odds = declaration_odds(slim, size)
     said = F.lit(None).cast("array<double>")
     for tag_value, values in odds.items():
         said = F.when(F.col("_declared") == tag_value, F.array(*map(F.lit, values))).otherwise(said)
     nothing = F.array(*[F.lit(0.0)] * size)
-    scored = _scored(rows, "_text", languages, table)
+    scored = _scored(rows, text, languages, table)
     others = F.zip_with("_host_sums", "_share", lambda n, own: F.greatest(n - own, F.lit(0.0)))
     prior = _smoothed(others, F.col("_parent"))
     fused = F.zip_with(

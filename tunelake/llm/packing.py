@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tunelake.llm.common import map_batches
+from tunelake.llm.common import small_batches
 from tunelake.session import ship_package, written
 
 CAPACITY, END_ID = 4096, 1
@@ -175,10 +175,13 @@ def token_pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     cached_words: int = CACHED_WORDS,
+    release: bool = False,
 ) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids (little-endian unsigned 32 bit).
 
-    A worker keeps the ids of ``cached_words`` words, about 250 bytes each: fewer take longer.
+    A worker keeps the ids of ``cached_words`` words, about 250 bytes each: fewer take longer. With
+    ``release`` it gives them and the tokenizer up after each task, for jobs that follow in the same
+    workers.
     """
     file = tokenizer_file or public_tokenizers.path("word_bpe_49k.json")
     schema = T.StructType(
@@ -217,7 +220,13 @@ def token_pieces(
             names=[key, "piece", "start", "length", "ids"],
         )
 
-    return map_batches(df.select(F.col(key), F.col(text)), run, schema)
+    def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(run, small_batches(batches))
+        if release:
+            _worker_tokens.cache_clear()
+
+    ship_package(df.sparkSession)
+    return df.select(F.col(key), F.col(text)).mapInArrow(run_task, schema)
 
 
 @dataclass(frozen=True)
