@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunelake.llm.common import small_batches
-from tunelake.session import ship_package
+from tunelake.session import ship_package, written
 
 #: Labelled rows that the trigram probabilities are fitted on.
 TRAIN_ROWS = 20_000
@@ -245,7 +245,8 @@ def identify(
         *kept, other.alias("_declared"), (F.col(host) if host else none).alias("_host")
     )
     slim = _scored(rows.select(text, "_declared", "_host"), text, languages, table)
-    levels = host_levels(slim, size)
+    # Written first: a join of two tables can be split where one host holds very many rows.
+    levels = written(host_levels(slim, size), "hosts")
     odds = declaration_odds(slim, size)
     said = F.lit(None).cast("array<double>")
     for tag_value, values in odds.items():
