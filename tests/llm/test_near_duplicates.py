@@ -165,3 +165,24 @@ def test_whole_table_recall(spark):
     links = [(a, b) for a, b in pairs if nd.aligned(found[a], found[b]) >= 0.8]
     expected = groups(links, texts)
     assert got == expected and np.unique(list(got.values())).size < len(got)
+
+
+def family(count, planted):
+    """Texts just under 0.8 to each other by the words they share, and pairs just above by two more."""
+    pick = random.Random(9)
+    core = [f"core{i}" for i in range(359)]
+    own = [[f"own{i}x{j}" for j in range(45)] for i in range(count)]
+    for i in range(planted):
+        own[2 * i][:2] = own[2 * i + 1][:2]
+    texts = [" ".join(core + words) for words in own]
+    pick.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_pairs_inside_a_family_that_is_not_similar(make, rows):
+    given = family(200, 6)
+    found = [nd.labelled_kmers(nd.word_ids(t)) for _, t in given]
+    pairs = [(i, j) for i, _ in given for j, _ in given if i < j and nd.aligned(found[i], found[j]) >= 0.8]
+    assert len(pairs) == 6
+    got = dict(rows(nd.classes(make(given, "doc_id long, text string"))))
+    assert got == groups(pairs, [i for i, _ in given])

@@ -19,6 +19,11 @@ formed. Nodes that a hub links are one class (connected components, by joins). H
 compared leave their buckets; buckets that still hold several classes get a new hub, and rounds go on
 until one finds no link any more.
 
+Buckets that hold several classes even then are compared in full, without forming their pairs, by an
+exact filter on prefixes: with the k-mers of each node in one order for all, rarest first, two nodes of
+0.8 share a k-mer that has as many k-mers from it on, in both, as they must pair. K-mers of one class
+only come first and drop out; of those in several classes only such rare ones meet.
+
 Defined results: null, empty and blank texts have no words and are copies of each other; repeated rows
 are copies; of a class the smallest id names it and its first row stays (a null id comes last); an empty
 table gives an empty table; ``classes`` leaves other columns out, ``keep_one`` keeps them.
@@ -27,17 +32,18 @@ table gives an empty table; ``classes`` leaves other columns out, ``keep_one`` k
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunelake.llm.common import BoundedCache, map_batches
-from tunelake.session import written
+from tunelake.llm.common import BoundedCache, map_batches, small_batches
+from tunelake.session import ship_package, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, SAMPLED = 32, 4
@@ -270,6 +276,67 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return current
 
 
+def _kmers(nodes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """For each labelled k-mer of the ``nodes`` (node, label): ``node``, ``label``, ``size``, ``kmer``."""
+    ship_package(nodes.sparkSession)
+    names = ["node", "label", "size", "kmer"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, label, words in zip(*(column.to_pylist() for column in batch.columns)):
+                found = labelled_kmers(np.frombuffer(words, np.uint32)).astype(np.int64)
+                for start in range(0, len(found), AT_ONCE):
+                    part = found[start : start + AT_ONCE]
+                    same = (np.full(len(part), x, np.int64) for x in (node, label, len(found)))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (*same, part))], names=names)
+
+    return (
+        sequences.join(nodes, "node")
+        .select("node", "label", "words")
+        .mapInArrow(lambda batches: run(small_batches(batches)), "node long, label long, size long, kmer long")
+    )
+
+
+def _near_by_prefix(nodes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the ``nodes`` (node, label), among them all similar ones of different labels."""
+    kmers = _kmers(nodes, sequences)
+    often = (
+        kmers.groupBy("kmer")
+        .agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        .filter("_low <> _high")
+        .select(F.col("kmer").alias("_k"), "often")
+    )
+    # Written first, so that the join can be split where a k-mer is in very many nodes.
+    shared = kmers.join(written(often, "often"), F.col("kmer") == F.col("_k"))
+    # ``onward``: k-mers of the node from this one on, of which a pair may share no more.
+    order = Window.partitionBy("node").orderBy(F.desc("often"), "kmer")
+    ends = written(
+        shared.withColumn("onward", F.row_number().over(order).cast("long"))
+        .filter(F.col("onward") >= F.lit(SIMILARITY) * F.col("size") - 1e-6)
+        .select("node", "label", "size", "kmer", "onward"),
+        "prefixes",
+    )
+    part = 2 * SIMILARITY / (1 + SIMILARITY)
+    small, large = (
+        ends.select(
+            "kmer", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "size", "onward"))
+        )
+        for side in ("a", "b")
+    )
+    needed = F.lit(part / 2) * (F.col("size_a") + F.col("size_b")) - 1e-6
+    first = (F.col("size_a") < F.col("size_b")) | (
+        (F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b"))
+    )
+    return (
+        small.filter(F.col("onward_a") >= F.lit(part) * F.col("size_a") - 1e-6)
+        .join(large, "kmer")
+        .filter(first & (F.col("label_a") != F.col("label_b")))
+        .filter(F.least("onward_a", "onward_b") >= needed)
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .distinct()
+    )
+
+
 def _nodes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Rows (id, digest); nodes (node, digest, first id, sketch)."""
     rows = written(_sketched(df, key, text), "sketched")
@@ -281,6 +348,25 @@ def _nodes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _rest_compared(rest: DataFrame, sequences: DataFrame, labels: DataFrame | None) -> DataFrame | None:
+    """``labels`` with the links inside the buckets of ``rest`` that hold several classes."""
+    several = (
+        rest.groupBy(F.col("bucket").alias("_b"))
+        .agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+        .filter("_low <> _high")
+    )
+    # Written first, as the hubs are.
+    several = written(several.select("_b"), "several")
+    left = written(
+        rest.join(several, F.col("bucket") == F.col("_b")).select("node", "label").distinct(), "left"
+    )
+    if left.isEmpty():
+        return labels
+    pairs = written(_near_by_prefix(left, sequences), "pairs")
+    links = written(_linked(pairs, sequences), "links")
+    return labels if links.isEmpty() else components(links, labels)
+
+
 def _classes_of_nodes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Rows (id, digest); digest, its first id, class id and whether the digest stays for its class."""
     rows, nodes = _nodes(df, key, text)
@@ -333,6 +419,7 @@ def _classes_of_nodes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
         pairs = written(pairs, "pairs")
         links = written(_linked(pairs, sequences), "links")
         if links.isEmpty():
+            labels = _rest_compared(rest, sequences, labels)
             break
         labels = components(links, labels)
         compared = pairs if compared is None else compared.unionByName(pairs)
