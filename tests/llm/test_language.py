@@ -155,3 +155,25 @@ def test_empty_tables(spark, model):
     none = language.fit(empty, "text", "declared")
     df = spark.createDataFrame([(1, "text", "en", "h")], empty.schema)
     assert [(r.language, r.kept) for r in language.identify(df, none).collect()] == [("und", False)]
+
+
+def test_a_rare_language_is_learnt_from_all_its_rows(spark):
+    pick = random.Random(5)
+    given = [(i, " ".join(pick.choice(WORDS["en"]) for _ in range(8)), "en") for i in range(4000)]
+    given += [(5000 + i, " ".join(pick.choice(WORDS["de"]) for _ in range(8)), "de") for i in range(3)]
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string").repartition(3)
+    languages, table = language.fit(df, "text", "lang", rows=40)
+    assert languages == ["de", "en"]
+    counts = np.full(language.CLASSES, 0.5)
+    for _, text, _ in given[4000:]:
+        np.add.at(counts, language.trigrams(text), 1)
+    assert np.allclose(table[0], np.log(counts / counts.sum()), atol=1e-4)
+
+
+def test_shares_by_language():
+    counts = {"en": 10**9, "de": 10**6, "fr": 7000, "is": 12}
+    shares = language.sampled_shares(counts, 20_000)
+    assert shares["is"] == 1 and shares["en"] * 10**9 == pytest.approx(shares["de"] * 10**6)
+    assert sum(shares[k] * counts[k] for k in counts) == pytest.approx(20_000, abs=4)
+    assert set(language.sampled_shares({"en": 19_000, "is": 1000}, 20_000).values()) == {1.0}
+    assert language.sampled_shares({}, 20_000) == {}

@@ -4,8 +4,10 @@ For each language l the posterior is
 
     P(l | all)  ~  P(l | host) * P(text | l) * P(declared | l)
 
-- ``P(text | l)``: byte trigrams of the lower-cased letters. The trigram probabilities are fitted on a
-  bounded random sample of labelled rows (``TRAIN_ROWS``, drawn with a fixed seed); overlapping
+- ``P(text | l)``: byte trigrams of the lower-cased letters. The languages are those of all labelled
+  rows, counted. The trigram probabilities are fitted on a random sample of each language's rows, drawn
+  with a fixed seed: about ``TRAIN_ROWS`` in all, dealt so that only the most frequent languages give
+  less than all their rows, and none less than ``LEAST_ROWS``; overlapping
   trigrams are no independent evidence, so the log-likelihood counts by a third. In a
   further class, ``und``, all trigrams are equally likely: what fits it better is in none of the
   languages. A text in two of them fits either one better than that.
@@ -38,8 +40,8 @@ from pyspark.sql import types as T
 from tunelake.llm.common import small_batches
 from tunelake.session import ship_package, written
 
-#: Labelled rows that the trigram probabilities are fitted on.
-TRAIN_ROWS = 20_000
+#: Labelled rows that the trigram probabilities are fitted on, and those that each language has at least.
+TRAIN_ROWS, LEAST_ROWS = 20_000, 1_000
 #: Trigrams share so many classes, by a hash.
 CLASSES = 1 << 16
 #: What a trigram counts, and rows that a level's parent counts for.
@@ -71,15 +73,31 @@ def primary_language(tag: Column) -> Column:
     return F.lower(F.substring_index(F.substring_index(F.trim(tag), "-", 1), "_", 1))
 
 
+def sampled_shares(counts: dict[str, int], rows: int) -> dict[str, float]:
+    """The share of each language's rows to draw, ``rows`` in all.
+
+    Languages are cut to one common number of rows, ``LEAST_ROWS`` or more; one with fewer gives all.
+    """
+    left, most = rows, 0
+    for place, count in enumerate(ordered := sorted(counts.values())):
+        most = left // (len(ordered) - place)
+        if count > most:
+            break
+        left -= count
+        most = count
+    most = max(most, LEAST_ROWS)
+    return {language: min(1.0, most / count) for language, count in counts.items()}
+
+
 def fit(df: DataFrame, text: str, label: str, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and the log-probabilities of the trigram classes; the last row is that of ``und``."""
     labelled = df.select(F.col(text).alias("t"), primary_language(F.col(label)).alias("l")).filter(
         "l is not null and l <> ''"
     )
-    # Sampled first, so that the limit, which gathers its rows, gathers few more than it keeps.
-    share = min(1.0, 1.05 * rows / max(1, labelled.count()))
-    sample = labelled if share == 1 else labelled.sample(share, seed=1)
-    sample = sample.filter("t is not null").limit(rows)
+    labelled = labelled.filter("t is not null")
+    of_language = {row["l"]: row["n"] for row in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    shares = sampled_shares(of_language, rows)
+    sample = labelled if min(shares.values(), default=1) == 1 else labelled.sampleBy("l", shares, seed=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
