@@ -38,3 +38,14 @@ def test_empty_table(spark):
 def test_no_python_workers(make):
     plan = licences.scan(make([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_full_texts_and_titles(make, rows):
+    given = [(1, MIT.split("\n", 1)[1]), (2, "ISC License\n" + licences.KNOWN["ISC"][0])]
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+    given += [(10 + i, licences.KNOWN[name][-1].upper()) for i, name in enumerate(names)]
+    given += [(30, "Prose.\nLicensed under CC BY-SA 4.0.")]
+    got = rows(licences.scan(make(given, "doc_id long, text string")))
+    whole = [(1, None, "MIT"), (2, None, "ISC"), *((10 + i, None, name) for i, name in enumerate(names))]
+    assert sorted((r for r in got if r[1] is None), key=repr) == sorted(whole, key=repr)
+    assert (30, 1, "CC-BY-SA-4.0") in got

@@ -13,6 +13,8 @@ columns are left out. Known texts whose canonical form is the same count once, b
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +63,16 @@ KNOWN = {
     ],
 }
 
+# The same with a title or without.
+KNOWN["MIT"].append(KNOWN["MIT"][2].split("\n", 1)[1])
+KNOWN["ISC"].append("ISC License\n\n" + KNOWN["ISC"][0])
+KNOWN["BSD-3-Clause"] = ["Licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License."]
+KNOWN["BSD-2-Clause"] = ["Licensed under the BSD 2-Clause License.", "Released under the BSD 2-Clause License."]
+KNOWN["CC-BY-SA-4.0"] = ["Licensed under CC BY-SA 4.0."]
+# Full texts, each the whole of a file.
+for _file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+    KNOWN.setdefault(_file.stem, []).append(_file.read_text("utf-8"))
+
 # Spellings that mean the same.
 SPELLINGS = [
     ("licence", "license"),
