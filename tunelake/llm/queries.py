@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunelake.llm import (
     byte_bpe,
+    conversations,
     language,
     licences,
     near_duplicates,
@@ -159,3 +160,118 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_order_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
+def _op12_sql() -> str:
+    """Damage, faults and the cheapest edits, a row of every conversation at a time."""
+    space = " || ".join(f"chr({ord(c)})" for c in conversations.SPACE)
+
+    def then(state: str, cost: str, edit: str) -> str:
+        """A state is its cost in ten digits and the edits; null where it cannot be reached."""
+        dearer = f"lpad(CAST(CAST(left({state}, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0')"
+        return f"CASE WHEN {state} IS NOT NULL THEN {dearer} || substr({state}, 11) || '{edit}' END"
+
+    def stays(state: str, letter: str) -> str:
+        keep, other = then(state, "more", "K"), then(state, "more + 3", "R")
+        return f"CASE WHEN NOT lost THEN CASE WHEN letter = '{letter}' THEN {keep} ELSE {other} END END"
+
+    inserted = {s: then(s, "3", "I") for s in ("s0", "s1", "s3", "user")}
+    closed = f"""
+        SELECT *, least(s3, {inserted["user"]}) AS assistant
+        FROM (SELECT *, least(s2, {inserted["s0"]}, {inserted["s1"]}, {inserted["s3"]}) AS user FROM {{}})"""
+    return f"""
+    WITH RECURSIVE bits AS (
+        SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))
+                for n in range(256)] AS crc_of),
+    sums AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               [ascii(x) for x in string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+                                               coalesce(CAST(turn AS VARCHAR), ' '), '')] AS name
+        FROM conversations),
+    kinds AS (
+        SELECT conv_id, turn, role, text,
+               xor(list_reduce(list_concat([4294967295], name),
+                   lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+        FROM sums, bits),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM kinds JOIN (VALUES (1), (2)) AS copies(copy) ON copy = 1 OR kind = 3
+        WHERE kind <> 0),
+    repeated AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+               rtrim(text, {space}) AS said
+        FROM damaged),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS place
+        FROM repeated),
+    faulty AS (
+        SELECT *, left(role, 1) AS letter,
+               CASE WHEN said = '' THEN 'blank' WHEN again THEN 'duplicate'
+                    WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+        FROM placed),
+    steps AS (
+        SELECT *, fault IN ('blank', 'duplicate') AS lost,
+               CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more
+        FROM faulty),
+    survivors(conv_id, place, s0, s1, s2, s3) AS (
+        SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '0000000000', CAST(NULL AS VARCHAR),
+               CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+        FROM conversations
+        UNION ALL
+        SELECT conv_id, place, {then("s0", "4", "D")},
+               least({then("s1", "4", "D")},
+                     CASE WHEN NOT lost AND letter = 's' THEN {then("s0", "more", "K")} END),
+               least({then("user", "4", "D")}, {", ".join(stays(s, "u") for s in ("s0", "s1", "assistant"))}),
+               least({then("assistant", "4", "D")}, {stays("user", "a")})
+        FROM ({closed.format("""(
+            SELECT d.conv_id, d.place, lost, more, letter, s0, s1, s2, s3
+            FROM survivors v JOIN steps d ON d.conv_id IS NOT DISTINCT FROM v.conv_id AND d.place = v.place + 1)""")})),
+    repaired AS (
+        SELECT conv_id, CAST(left(least(s0, assistant), 10) AS BIGINT) AS cost,
+               substr(least(s0, assistant), 11) AS audit
+        FROM ({closed.format("""(
+            SELECT * FROM survivors
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1)""")})),
+    letters AS (
+        SELECT conv_id, unnest(string_split(audit, '')) AS edit,
+               generate_subscripts(string_split(audit, ''), 1) AS nth
+        FROM repaired),
+    edits AS (
+        SELECT *, count(*) FILTER (edit <> 'I') OVER sofar AS place, count(*) FILTER (edit <> 'D') OVER sofar AS kept
+        FROM letters
+        WINDOW sofar AS (PARTITION BY conv_id ORDER BY nth)),
+    shown AS (
+        SELECT e.*, d.role, CASE WHEN edit = 'I' THEN '' ELSE d.text END AS text,
+               max(CASE WHEN kept = 1 AND edit = 'K' AND letter = 's' THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY e.conv_id) AS system
+        FROM edits e
+        LEFT JOIN steps d ON d.conv_id IS NOT DISTINCT FROM e.conv_id AND d.place = e.place
+        WHERE edit <> 'D'),
+    texts AS (
+        SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (kept - system) % 2 = 1 THEN 'user'
+                                        ELSE 'assistant' END || ':' || text, chr(10) ORDER BY nth) AS whole
+        FROM shown
+        GROUP BY conv_id),
+    pairs AS (
+        SELECT *, lag(letter) OVER (PARTITION BY conv_id ORDER BY place) || letter AS pair FROM steps),
+    faults AS (
+        SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM pairs
+        GROUP BY conv_id)
+    SELECT r.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+           sha256(coalesce(whole, '')) AS repaired_sha256
+    FROM repaired r
+    LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM r.conv_id
+    LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM r.conv_id
+    """
+
+
+@_query("op12_survivor_viterbi", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(damaged))
