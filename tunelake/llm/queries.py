@@ -19,6 +19,7 @@ from tunelake.llm import (
     sharding,
     token_counts,
     topk,
+    whitening,
 )
 from tunelake.llm.common import table
 
@@ -275,3 +276,8 @@ def _op12_sql() -> str:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversations.damaged(table(spark, sf_dir, "conversations"))
     return conversations.report(conversations.repair(damaged))
+
+
+@_query("op13_incremental_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
