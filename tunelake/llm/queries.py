@@ -14,6 +14,7 @@ from tunelake.llm import (
     licences,
     near_duplicates,
     packing,
+    passages,
     privacy,
     quality,
     sharding,
@@ -281,3 +282,40 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_incremental_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_OP11 = """
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents),
+starts AS (SELECT row, unnest(range(1, len(words) - 33)) AS start FROM texts WHERE len(words) >= 35),
+windows AS (
+    SELECT s.row, start, sha256(array_to_string(list_slice(words, start, start + 34), ' ')) AS digest
+    FROM starts s JOIN texts t ON s.row = t.row),
+repeated AS (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1),
+covered AS (
+    SELECT DISTINCT row, unnest(range(start, start + 35)) AS place
+    FROM windows SEMI JOIN repeated USING (digest)),
+words AS (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+kept AS (
+    SELECT row, string_agg(word, ' ' ORDER BY place) AS text
+    FROM words ANTI JOIN covered USING (row, place)
+    GROUP BY row),
+removed AS (SELECT row, count(*) AS n FROM covered GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row) LEFT JOIN removed USING (row)
+"""
+
+
+@_query("op11_de_bruijn_passages", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove(
+        table(spark, sf_dir, "documents"),
+        result=[
+            "n_words",
+            F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"]).alias("n_removed"),
+            F.sha2("kept", 256).alias("kept_sha256"),
+        ],
+    )
