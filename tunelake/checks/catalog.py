@@ -19,6 +19,7 @@ from tunelake.sources.artifacts import (
     relative_keys,
     with_run,
 )
+from tunelake.sources.publish import publish_runs, published_runs
 from tunelake.sources.sinks import write_runs_partitioned
 
 ART = f"""
@@ -269,3 +270,17 @@ def partitioned(spark, sf):
     rows = X.metrics(spark, sf).filter("tag <> 'train/grad_norm'").drop("wall_time")
     write_runs_partitioned(rows, base)
     return spark.read.parquet(base)
+
+
+@query("published_runs", f"with {M} select run, tag, step, value, ord from k")
+def published(spark, sf):
+    """Two writers publish runs of their own; a third one, late with a run of the first, loses."""
+    base = new_folder(spark, "published")
+    rows = X.metrics(spark, sf).filter("tag <> 'train/grad_norm'").drop("wall_time")
+    for runs in (["r0", "r1", "r2"], ["r3", "r4"]):
+        publish_runs(rows.filter(F.col("run").isin(runs)), base)
+    try:
+        publish_runs(rows.filter("run in ('r2', 'r9')"), base)
+    except FileExistsError:
+        pass
+    return published_runs(spark, base, rows.schema)

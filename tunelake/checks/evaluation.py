@@ -14,6 +14,7 @@ from tunelake.functions.text import after_last_marker, strip_prompt
 from tunelake.operators import evaluation as E
 from tunelake.operators.inference import batch_infer, run_sample_grid
 from tunelake.session import new_folder, ship_package
+from tunelake.sources.single_file import write_results_file
 from tunelake.sources.sinks import write_eval_results
 
 _FIELDS = ["cancer_type", "stage"]
@@ -73,6 +74,15 @@ def eval_results(spark, sf):
     return spark.read.schema(rows.schema).json(folder)
 
 
+@query("eval_results_list", f"with {_SCORES} select id, match, stage_match from scored")
+def eval_list(spark, sf):
+    """One JSON list, read back as one document."""
+    path = f"{new_folder(spark, 'results')}/evaluation_results.json"
+    rows = _scored(spark, sf).select("id", "match", "stage_match")
+    write_results_file(rows, path, ["id"])
+    return spark.read.schema(rows.schema).option("multiLine", "true").json(path)
+
+
 @query("open_match", """
 select p_partkey as id, p_partkey % 11 not in (1, 3, 4, 6, 7)
   and not (p_partkey % 11 = 2 and p_partkey % 7 <> 0) as same

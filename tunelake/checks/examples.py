@@ -17,8 +17,10 @@ from tunelake.sources.examples import (
     load_splits,
     parse_example_lines,
     read_examples,
+    read_rejects,
     store_examples,
 )
+from tunelake.sources.single_file import write_in_order
 
 REC = """
 rec as (
@@ -71,11 +73,26 @@ def read_good(spark, sf):
 @query("example_rejects", f"""
 select reason, count(*) as lines from (select {_REASON} as reason from part) where reason is not null
 group by reason""")
-def read_rejects(spark, sf):
+def reject_counts(spark, sf):
     _, rejects = read_examples(spark, _files_of_lines(spark, sf))
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query("example_line_numbers", f"""
+with numbered as (select row_number() over (order by p_partkey) as line_no, {_REASON} as reason from part)
+select line_no, reason from numbered where reason is not null""")
+def reject_lines(spark, sf):
+    """One file, in order, read in many splits."""
+    path = f"{new_folder(spark, 'lines')}/train.jsonl"
+    lines = X.example_lines(spark, sf).repartition(7).select("id", "value")
+    write_in_order(lines, path, ["id"], _line_text, b"", b"")
+    return read_rejects(spark, path).select("line_no", "reason")
+
+
+def _line_text(batch):
+    return "".join(value + "\n" for value in batch.column("value").to_pylist())
+
+
 @query("example_reasons", f"select p_partkey as id, {_REASON} as reason from part")
 def example_reasons(spark, sf):
     return parse_example_lines(X.example_lines(spark, sf)).select("id", "reason")

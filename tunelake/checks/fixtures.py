@@ -6,6 +6,11 @@ operator's own and grows with its table.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from urllib.parse import urlparse
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -309,3 +314,19 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .withColumn("path", F.concat(F.lit("checkpoint-"), F.col("step").cast("string")))
     )
+
+
+def append_lines(lines: DataFrame, folder: str, files: int) -> None:
+    """Append the only column of ``lines`` to the files ``app-<n>.log`` of a folder, as a program logs."""
+    place = urlparse(folder).path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(place, exist_ok=True)
+        for batch in batches:
+            for name, line in zip(*(c.to_pylist() for c in batch.columns)):
+                with open(f"{place}/app-{name}.log", "a") as file:
+                    file.write(line + "\n")
+            yield batch.slice(0, 0)
+
+    numbered = lines.select(F.pmod(F.hash(lines.columns[0]), F.lit(files)).alias("n"), *lines.columns)
+    numbered.repartition(files, "n").mapInArrow(run, numbered.schema).count()

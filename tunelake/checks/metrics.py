@@ -21,6 +21,7 @@ from tunelake.sources.metrics import (
     read_metric_events,
     trainer_state_header,
 )
+from tunelake.sources.single_file import write_metrics_file
 from tunelake.sources.sinks import write_metrics_csv
 
 M = """
@@ -136,6 +137,16 @@ def metrics_csv_roundtrip(spark, sf):
     return spark.read.schema(wide.schema).option("header", "true").csv(folder)
 
 
+@query("metrics_csv_file", f"with {M} {_WIDE}")
+def metrics_csv_file(spark, sf):
+    """One file: its only header gives the names."""
+    wide = S.pivot_metrics(X.metrics(spark, sf))
+    path = f"{new_folder(spark, 'csv')}/metrics.csv"
+    write_metrics_file(wide, path, ["run", "step"])
+    rows = spark.read.option("header", "true").csv(path)
+    return rows.select(*(F.col(f.name).cast(f.dataType) for f in wide.schema))
+
+
 @query("align_series", f"""with {M}
 select coalesce(t.run, e.run) as run, coalesce(t.step, e.step) as step,
   t.value as train, e.value as evaluation

@@ -10,6 +10,7 @@ from tunelake.checks.metrics import _CONSOLE, M
 from tunelake.checks.registry import query
 from tunelake.session import new_folder
 from tunelake.streaming import follow as S
+from tunelake.streaming.tail import tail_log
 
 _MINUTE = "yyyy-MM-dd HH:mm:ss"
 _STAMP = "'%Y-%m-%d %H:%M:%S'"
@@ -26,6 +27,19 @@ def follow(spark, sf):
     return S.append_available(S.follow_log(spark, folder), new_folder(spark, "follow"))
 
 
+@query("stream_tail", f"with {LOG} select message as value from lg")
+def tail(spark, sf):
+    """Log files grow, one is moved aside with unread lines, and the stream starts anew each time."""
+    folder, base = new_folder(spark, "growing"), new_folder(spark, "tail")
+    messages = X.log(spark, sf).select("event_id", F.col("message").alias("value"))
+    for turn in range(3):
+        X.append_lines(messages.filter(F.col("event_id") % 3 == turn).select("value"), folder, 4)
+        if turn == 1:
+            S.move(spark, f"{folder}/app-0.log", f"{folder}/app-0.log.1")
+        out = S.append_available(tail_log(spark, folder), base)
+    return out.select("value")
+
+
 @query("stream_metrics", f"with {M} {_CONSOLE}")
 def metrics(spark, sf):
     lines = X.console_lines_of(_events(spark, sf))

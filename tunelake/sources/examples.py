@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -93,7 +93,7 @@ def split_examples(
 def read_example_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with the file they came from and a number, ``example_id``, unique over all files read.
 
-    A distributed scan has no line numbers; the number grows with the place within a file's part.
+    The number grows with the place within a file's part; ``with_line_numbers`` makes line numbers.
     """
     return spark.read.text(path).select(
         "value",
@@ -102,6 +102,45 @@ def read_example_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``read_example_lines`` with the split of the file, ``block``, that each line was read from."""
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.monotonically_increasing_id().alias("example_id"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
+def with_line_numbers(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """``rows`` of ``placed`` with ``line_no``, from 1 in each file, instead of ``block``.
+
+    The lines of each split are counted; the number of a line is the sum of the splits before its own
+    and its place in there, which is how far its id lies above the first one: a split is read by one
+    task, in order. What is counted and joined has one row for each split.
+    """
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        placed.groupBy("file_path", "block")
+        .agg(F.min("example_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+        .withColumn("_before", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
+        .drop("_lines")
+    )
+    number = F.col("_before") + F.col("example_id") - F.col("_first") + 1
+    return rows.join(splits, ["file_path", "block"]).withColumn("line_no", number).select(
+        *(c for c in rows.columns if c != "block"), "line_no"
+    )
+
+
+def read_rejects(
+    spark: SparkSession, path: str | list[str], fields: list[str] = RECORD_FIELDS, mode: str = "quarantine"
+) -> DataFrame:
+    """The lines that cannot be used, with their reason and their number in the file."""
+    placed = read_placed_lines(spark, path)
+    _, rejects = split_examples(parse_example_lines(placed, "value", fields), "value", mode)
+    return with_line_numbers(rejects, placed)
+
+
 def read_examples(
     spark: SparkSession,
     path: str | list[str],

@@ -15,7 +15,10 @@ from tunelake.sources.metrics import parse_console_metrics
 
 
 def follow_log(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of the text files of a folder as they arrive (column ``value``)."""
+    """Lines of the text files of a folder as they arrive (column ``value``).
+
+    For files that are written once; ``tail.tail_log`` follows files that grow.
+    """
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -83,6 +86,12 @@ def _numbers(spark: SparkSession, base: str, prefix: str) -> list[int]:
     return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file, for instance a log that makes room for a new one."""
+    here, there = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    here.getFileSystem(spark._jsc.hadoopConfiguration()).rename(here, there)
+
+
 def attempt_folder(spark: SparkSession, base: str, resume: bool = True) -> str:
     """The folder in which a stream keeps its state and output.
 
