@@ -254,34 +254,35 @@ def paths(links: DataFrame, nodes: DataFrame) -> DataFrame:
         .filter("node <> following")
         .select(F.col("following").alias("node"), F.col("before").alias("pointer"))
     )
-    # open: what still points to a node that is not a first one
-    opened = written(simple.select("node", "pointer", F.lit(1).cast("long").alias("steps"), F.col("node").alias("least")), "links")
-    closed, reach, most = None, 1, opened.count()
+    start = simple.select(
+        "node", "pointer", F.lit(1).cast("long").alias("steps"), F.col("node").alias("least"),
+        F.lit(True).alias("open"),
+    )
+    current = written(start, "links")
+    opened, closed, reach, most = current, None, 1, current.count()
     while not opened.isEmpty() and reach <= 2 * most:
         target = opened.select(
             F.col("node").alias("pointer"), F.col("pointer").alias("further"), F.col("steps").alias("more"),
-            F.col("least").alias("other"),
-        )
-        ahead = closed.select(
-            F.col("node").alias("pointer"), F.col("path").alias("first"), F.col("steps").alias("end")
-        ) if closed is not None else None
-        moved = opened.join(target, "pointer", "left")
-        if ahead is not None:
-            moved = moved.join(ahead, "pointer", "left")
-        else:
-            moved = moved.withColumns({"first": F.lit(None).cast("long"), "end": F.lit(None).cast("long")})
-        moved = written(moved, "paths")
-        done = moved.filter("further is null").select(
-            "node", F.coalesce("first", "pointer").alias("path"), (F.col("steps") + F.coalesce("end", F.lit(0))).alias("steps")
+            F.col("least").alias("other"), F.lit(True).alias("goes_on"),
         )
-        closed = written(done if closed is None else closed.unionByName(done), "closed")
-        opened = written(
-            moved.filter("further is not null").select(
-                "node", F.col("further").alias("pointer"), (F.col("steps") + F.col("more")).alias("steps"),
-                F.least("least", "other").alias("least"),
-            ),
-            "links",
+        if closed is not None:  # it ends on a path that has reached its first node
+            target = target.unionByName(
+                closed.select(
+                    F.col("node").alias("pointer"), F.col("path").alias("further"), F.col("steps").alias("more"),
+                    F.col("node").alias("other"), F.lit(False).alias("goes_on"),
+                )
+            )
+        moved = opened.join(target, "pointer", "left").select(
+            "node",
+            F.coalesce("further", "pointer").alias("pointer"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.least("least", "other").alias("least"),
+            F.coalesce("goes_on", F.lit(False)).alias("open"),
         )
+        current = written(moved, "links")
+        done = current.filter("not open").select("node", F.col("pointer").alias("path"), "steps")
+        closed = done if closed is None else closed.unionByName(done)
+        opened = current.filter("open")
         reach *= 2
     rings = opened.select("node", F.col("least").alias("path"), F.lit(0).cast("long").alias("steps"))
     found = rings if closed is None else closed.unionByName(rings)
@@ -324,23 +325,31 @@ def repeated(df: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of the bundles that are to be read again, one row each."""
     unpack = zstandard.ZstdDecompressor().decompress
+    columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+
+    def made() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c)) for c in columns], names=[*_TEXT, "place", "seed", "hash", "times"]
+        )
+        for column in columns:
+            column.clear()
+        return batch
+
     for batch in batches:
         for row in range(batch.num_rows):
             t1, t2, packed, again = (batch.column(c)[row].as_py() for c in range(4))
             _, hashes = run_hashes(_hashed([unpack(packed)])[0])
             sizes = np.array([b["windows"] for b in again])
             place = np.concatenate([np.arange(b["place"], b["place"] + b["windows"]) for b in again])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(place), t1)),
-                    pa.array(np.full(len(place), t2)),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(np.repeat(np.array([b["seed"] for b in again]), sizes)),
-                    pa.array(hashes[place].view(np.int64)),
-                    pa.array(np.repeat(np.array([b["times"] for b in again]), sizes)),
-                ],
-                names=[*_TEXT, "place", "seed", "hash", "times"],
-            )
+            seeds, times = (np.repeat(np.array([b[c] for b in again]), sizes) for c in ("seed", "times"))
+            found = (np.full(len(place), t1), np.full(len(place), t2), place.astype(np.int32),
+                     seeds, hashes[place].view(np.int64), times)
+            for column, part in zip(columns, found):
+                column.append(part)
+            if sum(map(len, columns[0])) >= 1 << 14:
+                yield made()
+    if columns[0]:
+        yield made()
 
 
 def covered(spans: list[dict]) -> list[tuple[int, int]]:
@@ -358,6 +367,18 @@ def covered(spans: list[dict]) -> list[tuple[int, int]]:
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
     span = pa.struct([("start", pa.int32()), ("words", pa.int32())])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(span), pa.string())
+    columns: list[list] = [[] for _ in kinds]
+    size = 0
+
+    def made() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=[*_TEXT, "n_words", "spans", "kept"]
+        )
+        for column in columns:
+            column.clear()
+        return batch
+
     for batch in batches:
         for row in range(batch.num_rows):
             t1, t2, packed, spans = (batch.column(c)[row].as_py() for c in range(4))
@@ -367,16 +388,16 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept += words[end:start]
                 end = stop
             kept += words[end:]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([t1], pa.int64()),
-                    pa.array([t2], pa.int64()),
-                    pa.array([len(words)], pa.int64()),
-                    pa.array([[{"start": a, "words": b - a} for a, b in cut]], pa.list_(span)),
-                    pa.array([b" ".join(kept).decode("utf-8", "replace")], pa.string()),
-                ],
-                names=[*_TEXT, "n_words", "spans", "kept"],
-            )
+            text = b" ".join(kept).decode("utf-8", "replace")
+            shown = [{"start": a, "words": b - a} for a, b in cut]
+            for column, cell in zip(columns, (t1, t2, len(words), shown, text)):
+                column.append(cell)
+            size += len(text)
+            if size >= CHUNK_BYTES:
+                yield made()
+                size = 0
+    if columns[0]:
+        yield made()
 
 
 def clean(df: DataFrame, text: str = "text") -> DataFrame:
