@@ -12,7 +12,7 @@ from tunelake.functions.strict_json import extract_json, parse_or_error
 from tunelake.functions.templates import inference_prompt
 from tunelake.functions.text import after_last_marker, strip_prompt
 from tunelake.operators import evaluation as E
-from tunelake.operators.inference import batch_infer, run_sample_grid
+from tunelake.operators.inference import batch_infer, infer_missing, run_sample_grid
 from tunelake.session import new_folder, ship_package
 from tunelake.sources.single_file import write_results_file
 from tunelake.sources.sinks import write_eval_results
@@ -183,6 +183,27 @@ def infer(spark, sf):
     )
 
 
+@query("infer_missing", f"""
+select doc_id, length(text) + {len(INFERENCE_INSTRUCTION) + 26} as prompt_length,
+  length(text) + {len(INFERENCE_INSTRUCTION) + 26} || '/512' as stage
+from documents""")
+def infer_resumed(spark, sf):
+    """A third of the documents is answered before; the second call asks for the others."""
+    ship_package(spark)
+    folder = new_folder(spark, "answers")
+    prompts = X.table(spark, sf, "documents").select(
+        "doc_id", inference_prompt(F.col("text")).alias("prompt")
+    )
+    for rows in (prompts.filter("doc_id % 3 = 0"), prompts):
+        outputs = infer_missing(rows, _stub_factory, folder, blocks=4)
+    answers = outputs.select(
+        "doc_id",
+        F.length("prompt").cast("bigint").alias("prompt_length"),
+        strip_prompt(F.col("full_output"), F.col("prompt")).alias("generated"),
+    )
+    return extract_json(answers, "generated", ["stage"]).select("doc_id", "prompt_length", "record.stage")
+
+
 @query("run_sample_grid", """
 select doc_id, lang, unnest(['20251110_120000', '20251111_022951']) as run from documents""")
 def sample_grid(spark, sf):

@@ -59,6 +59,25 @@ def errors(spark, sf):
     )
 
 
+@query("stream_error_kinds", f"""with {LOG},
+er as (select time_bucket(interval 5 minute, ts) + interval 5 minute as bin_end, ts, event_id % 2 as turn
+  from lg where contains(message, 'ERROR')),
+passed as (select (select max(ts) from er where turn = 0) - interval 10 minute as first,
+  (select max(ts) from er) - interval 10 minute as last),
+k as (select bin_end, case when turn = 1 and bin_end <= first then 'late'
+    when bin_end <= last then 'final' else 'provisional' end as kind from er, passed)
+select strftime(bin_end - interval 5 minute, {_STAMP}) as bin_start, strftime(bin_end, {_STAMP}) as bin_end,
+  count(*) as errors, kind from k group by all""")
+def error_kinds(spark, sf):
+    """Every second row of the log comes when the first ones have closed most bins."""
+    incoming, folder = new_folder(spark, "incoming"), new_folder(spark, "kinds")
+    rows = X.log(spark, sf).select("event_id", "ts", "message")
+    for turn in range(2):
+        rows.filter(F.col("event_id") % 2 == turn).write.mode("append").parquet(incoming)
+        bins = S.follow_errors(S.follow_table(spark, incoming, rows.schema), folder)
+    return bins.withColumns({c: F.date_format(c, _MINUTE) for c in ("bin_start", "bin_end")})
+
+
 @query("stream_run_state", f"""with {M}
 select run, max(step) as global_step,
   max(case when tag = 'train/loss' and down = 1 then value end) as train_loss,
@@ -66,7 +85,7 @@ select run, max(step) as global_step,
 from a group by run""")
 def state(spark, sf):
     kept = X.metrics_of(_events(spark, sf)).filter("tag <> 'train/grad_norm'")
-    return S.update_available(S.run_state(kept), new_folder(spark, "state"), ["run"])
+    return S.follow_run_state(kept, new_folder(spark, "state"))
 
 
 @query("stream_resume", f"with {M} select run, tag, step, value, ord from m")

@@ -63,16 +63,20 @@ def latest_checkpoint(checkpoints: DataFrame) -> DataFrame:
 def best_checkpoint(metrics: DataFrame, checkpoints: DataFrame, tag: str = EVAL_LOSS) -> DataFrame:
     """The saved checkpoint with the lowest evaluation loss of every run; of equal ones the first.
 
-    Evaluations at steps that were not saved do not count.
+    Evaluations at steps that were not saved do not count. The first step of each value is settled
+    before the lowest value, so both levels keep plain numbers and stay hash aggregations.
     """
     evaluations = first_per_step(filter_tags(metrics, [tag])).select("run", "step", "value")
-    return (
+    saved = checkpoints.groupBy("run", "step").agg(F.min("path").alias("path"))
+    best = (
         evaluations.filter(F.col("value").isNotNull())
-        .join(checkpoints, ["run", "step"])
+        .join(saved.select("run", "step"), ["run", "step"])
+        .groupBy("run", "value")
+        .agg(F.min("step").alias("first"))
         .groupBy("run")
-        .agg(F.min(F.struct("value", "step", "path")).alias("_m"))
-        .select("run", "_m.step", F.col("_m.value").alias("value"), "_m.path")
+        .agg(F.min_by("first", "value").alias("step"), F.min("value").alias("value"))
     )
+    return best.join(saved, ["run", "step"]).select("run", "step", "value", "path")
 
 
 def retention_plan(checkpoints: DataFrame, best: DataFrame | None = None, keep: int = 3) -> DataFrame:
