@@ -17,10 +17,21 @@ from tunelake.session import written
 #: Words that a worker keeps for packing; less than for packing alone, as stages share the workers.
 CACHED_WORDS = 250_000
 
+#: Rows that Spark hands to a Python worker at a time: texts pass in and out, and a batch of the default
+#: size holds tens of megabytes several times over.
+ARROW_ROWS = "1000"
+
 #: No stage of it can be written as SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for what is planned from now on, where nobody has set their size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def _kept_rows(
     docs: DataFrame, new: Iterable[str], judge: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -32,6 +43,7 @@ def _kept_rows(
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language identification: documents in none of the languages, or without letters, go."""
+    _small_batches(spark)
     model = language.fit(docs, "text", "lang")
     return _kept_rows(
         docs,
@@ -47,11 +59,13 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates: one document of each group of copies and near-copies stays."""
+    _small_batches(spark)
     return near_duplicates.keep_one(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data: entities and the terms that disclose them are replaced in the texts."""
+    _small_batches(spark)
     hidden = privacy.sanitise(docs)
     if "n_chars" not in docs.columns:
         return hidden
@@ -60,6 +74,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the place of each document's pieces in sequences of bounded length."""
+    _small_batches(spark)
     return packing.pack(docs, cached_words=CACHED_WORDS, release=True)
 
 
