@@ -330,3 +330,20 @@ def append_lines(lines: DataFrame, folder: str, files: int) -> None:
 
     numbered = lines.select(F.pmod(F.hash(lines.columns[0]), F.lit(files)).alias("n"), *lines.columns)
     numbered.repartition(files, "n").mapInArrow(run, numbered.schema).count()
+
+
+def state_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """``trainer_states`` as files ``<run>/checkpoint-<step>/trainer_state.json`` of a folder."""
+    place = urlparse(folder).path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run_, segment, document in zip(*(c.to_pylist() for c in batch.columns)):
+                own = f"{place}/{run_}/checkpoint-{150 * (segment + 1)}"
+                os.makedirs(own, exist_ok=True)
+                with open(f"{own}/trainer_state.json", "w") as file:
+                    file.write(document)
+            yield batch.slice(0, 0)
+
+    states = trainer_states(spark, sf_dir).select("run", F.col("segment").cast("long").alias("segment"), "document")
+    states.mapInArrow(run, states.schema).count()

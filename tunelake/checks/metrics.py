@@ -19,6 +19,7 @@ from tunelake.sources.metrics import (
     parse_console_metrics,
     read_console_metrics,
     read_metric_events,
+    read_trainer_state,
     trainer_state_header,
 )
 from tunelake.sources.single_file import write_metrics_file
@@ -283,6 +284,20 @@ def trainer_header(spark, sf):
     return trainer_state_header(_states(spark, sf), ["run", "segment"])
 
 
+@query("trainer_state_files", f"""with {M},
+s as (select *, ord // 100 as segment, row_number() over (partition by run, ord // 100 order by ord) - 1 as place
+  from m where tag in ('train/loss', 'eval/loss')),
+b as (select run, segment, lag(150 * (segment + 1)) over (partition by run order by segment) as before
+  from (select distinct run, segment from s))
+select s.run, tag, step, value, place as ord
+from s join b on s.run = b.run and s.segment = b.segment where before is null or step > before""")
+def state_files(spark, sf):
+    folder = new_folder(spark, "states")
+    X.state_files(spark, sf, folder)
+    _, found = read_trainer_state(spark, folder)
+    return found.drop("wall_time")
+
+
 _CONSOLE = """
 select run, ord, step, tag, value from m where tag in ('train/loss', 'eval/loss')
 union all

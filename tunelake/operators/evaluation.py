@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.constants import RECORD_FIELDS
 from tunelake.functions.strict_json import parse_or_error, record_type, with_strict_object
+from tunelake.session import ship_package
 
 STATUSES = ["ok", "empty", "no_json", "malformed"]
 
@@ -15,34 +19,72 @@ STATUSES = ["ok", "empty", "no_json", "malformed"]
 _STRING_OR_WHOLE = r'("(?:[^"\\]|\\.)*+")|(-?[0-9]+)\.0++(?![0-9Ee])'
 
 
-def object_members(json: Column) -> Column:
+def object_members(text: Column) -> Column:
     """The members of a JSON object by key: ``key`` and ``value`` as JSON in one fixed form.
 
     Values keep their type; numbers are written by value (``1.0`` as ``1``), inner objects in key
     order. Of a key that stands twice the last one counts, as Python has it. Null where the text is
     no object, or an inner object holds a key twice.
     """
-    members = F.map_entries(F.from_json(json, "map<string, variant>"))
-
-    def last_ones(all_: Column) -> Column:
-        return F.filter(
-            all_,
-            lambda m, i: ~F.exists(
-                F.slice(all_, i + 2, F.size(all_)), lambda later: later["key"] == m["key"]
-            ),
-        )
-
-    last = F.get(F.transform(F.array(members), last_ones), F.lit(0))
-    return F.array_sort(
-        F.transform(
-            last,
-            lambda m: F.struct(
-                m["key"].alias("key"),
-                F.regexp_replace(F.to_json(m["value"]), _STRING_OR_WHOLE, "$1$2").alias("value"),
-            ),
-        )
+    placed = F.transform(
+        F.map_entries(F.from_json(text, "map<string, variant>")),
+        lambda m, i: F.struct(
+            m["key"].alias("key"),
+            i.alias("place"),
+            F.regexp_replace(F.to_json(m["value"]), _STRING_OR_WHOLE, "$1$2").alias("value"),
+        ),
     )
 
+    def last_ones(sorted_: Column) -> Column:
+        """Of sorted members those that the next one does not repeat."""
+        return F.filter(sorted_, lambda m, i: ~m["key"].eqNullSafe(F.get(sorted_, i + 1)["key"]))
+
+    last = F.get(F.transform(F.array(F.array_sort(placed)), last_ones), F.lit(0))
+    return F.transform(last, lambda m: F.struct(m["key"].alias("key"), m["value"].alias("value")))
+
+
+def _tree(value: object) -> str:
+    """One text for all values that are equal once parsed; NaN is read as one and the same object."""
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_tree(v)}" for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_tree, value)) + "]"
+    if isinstance(value, (bool, int)):
+        return str(int(value))
+    if isinstance(value, float):
+        return str(int(value)) if value.is_integer() else repr(value)
+    return json.dumps(value)
+
+
+def canonical_object(text: str | None) -> str | None:
+    """A JSON object in one fixed form at every depth; None for what is none.
+
+    As Python compares what it parses: the last one of equal keys counts, numbers go by value, ``true``
+    is ``1``.
+    """
+    try:
+        value = json.loads(text)
+        return _tree(value) if isinstance(value, dict) else None
+    except (TypeError, ValueError, OverflowError, RecursionError):
+        return None
+
+
+def _canonical(text: Column) -> Column:
+    if session := SparkSession.getActiveSession():
+        ship_package(session)
+
+    @F.pandas_udf("string")
+    def form(texts: pd.Series) -> pd.Series:
+        return texts.map(canonical_object)
+
+    return form(text)
+
+
+def _deep(text: Column) -> Column:
+    """Whether a JSON text may hold inner objects or truth values."""
+    inner = F.locate("{", text, 2) > 0
+    return F.coalesce(inner | F.contains(text, F.lit("true")) | F.contains(text, F.lit("false")), F.lit(False))
+
 
 def _member(members: Column, key: str) -> Column:
     """The value of a member; null where it is ``null`` or not there."""
@@ -73,6 +115,10 @@ def score_predictions(
     expected_record, predicted_record = F.col("expected"), F.col("predicted")
     usable = expected_record.isNotNull() & predicted_record.isNotNull()
     own, other = F.col("_expected_members"), F.col("_predicted_members")
+    expected_text, predicted_text = F.col("expected_json"), F.col("predicted_json")
+    deep = _deep(expected_text) | _deep(predicted_text)
+    exact = _canonical(F.when(deep, expected_text)) == _canonical(F.when(deep, predicted_text))
+    same = F.coalesce(F.when(deep, exact).otherwise(own == other), F.lit(False))
     field_match = {
         f"{f}_match": usable & _member(own, f).eqNullSafe(_member(other, f)) for f in fields
     }
@@ -80,14 +126,20 @@ def score_predictions(
         parsed.withColumn("_expected_members", object_members(F.col("expected_json")))
         .withColumn("_predicted_members", object_members(F.col("predicted_json")))
         .withColumns(field_match)
-        .withColumn("match", usable & F.coalesce(own == other, F.lit(False)))
+        .withColumn("match", usable & same)
         .select(*key, "match", *field_match, "error", "raw")
     )
 
 
 def same_object(left: Column, right: Column) -> Column:
-    """Whether two JSON objects of any keys are equal, whatever the key order."""
-    return F.coalesce(object_members(left) == object_members(right), F.lit(False))
+    """Whether two JSON objects of any keys are equal, as Python compares them.
+
+    Flat objects are compared by built-in functions. Only pairs in which one may hold inner objects or
+    truth values go to Python, in Arrow batches; others are nulls there.
+    """
+    deep = _deep(left) | _deep(right)
+    exact = _canonical(F.when(deep, left)) == _canonical(F.when(deep, right))
+    return F.coalesce(F.when(deep, exact).otherwise(object_members(left) == object_members(right)), F.lit(False))
 
 
 def exact_match_accuracy(scored: DataFrame) -> DataFrame:
