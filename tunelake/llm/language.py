@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunelake.llm.common import small_batches
+from tunelake.llm.common import give_back, in_one, out_of_one, small_batches
 from tunelake.session import ship_package, written
 
 #: Labelled rows that the trigram probabilities are fitted on, and those that each language has at least.
@@ -65,7 +65,12 @@ def trigrams(text: str) -> np.ndarray:
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(lambda batches: function(small_batches(batches)), schema)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(small_batches(batches))
+        give_back()
+
+    return df.mapInArrow(each, schema)
 
 
 def primary_language(tag: Column) -> Column:
@@ -259,10 +264,12 @@ def identify(
     none = F.lit(None).cast("string")
     tag = primary_language(F.col(declared)) if declared else none
     other = F.when(tag.isin(languages or [""]), tag).when(tag.isNotNull(), F.lit("?"))
+    others = [c for c in kept if c != text]
     rows = df.select(
-        *kept, other.alias("_declared"), (F.col(host) if host else none).alias("_host")
+        in_one(others), F.col(text).alias("text"), other.alias("_declared"),
+        (F.col(host) if host else none).alias("_host"),
     )
-    slim = _scored(rows.select(text, "_declared", "_host"), text, languages, table)
+    slim = _scored(rows.select("text", "_declared", "_host"), "text", languages, table)
     # Written first: a join of two tables can be split where one host holds very many rows.
     levels = written(host_levels(slim, size), "hosts")
     odds = declaration_odds(slim, size)
@@ -270,9 +277,9 @@ def identify(
     for tag_value, values in odds.items():
         said = F.when(F.col("_declared") == tag_value, F.array(*map(F.lit, values))).otherwise(said)
     nothing = F.array(*[F.lit(0.0)] * size)
-    scored = _scored(rows, text, languages, table)
-    others = F.zip_with("_host_sums", "_share", lambda n, own: F.greatest(n - own, F.lit(0.0)))
-    prior = _smoothed(others, F.col("_parent"))
+    scored = _scored(rows, "text", languages, table)
+    rest = F.zip_with("_host_sums", "_share", lambda n, own: F.greatest(n - own, F.lit(0.0)))
+    prior = _smoothed(rest, F.col("_parent"))
     fused = F.zip_with(
         F.zip_with("_like", prior, lambda like, p: like + F.log(p)),
         F.coalesce(said, nothing),
@@ -288,9 +295,11 @@ def identify(
         .withColumn("_fused", fused)
         .withColumn("_most", most)
         .select(
-            *kept,
+            "own",
+            "text",
             F.when(has_text, best).otherwise(UNDETERMINED).alias("language"),
             F.when(has_text, 1 / scale).otherwise(F.lit(0.0)).alias("probability"),
             (has_text & (best != UNDETERMINED)).alias("kept"),
         )
+        .select(*out_of_one(kept, text=text), *new)
     )

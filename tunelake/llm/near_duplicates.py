@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunelake.llm.common import BoundedCache, map_batches, small_batches
+from tunelake.llm.common import BoundedCache, in_one, map_batches, out_of_one, small_batches
 from tunelake.session import ship_package, written
 
 WORDS, SIMILARITY = 5, 0.8
@@ -72,6 +72,10 @@ def _word_hashes() -> BoundedCache:
     )
 
 
+def _forget() -> None:
+    _word_hashes.cache_clear()
+
+
 def word_ids(text: str | None) -> np.ndarray:
     """A 32-bit hash of each word."""
     words = (text or "").split()
@@ -163,7 +167,7 @@ def _with_digest(df: DataFrame, text: str) -> DataFrame:
             names=[*kept, "_digest"],
         )
 
-    return map_batches(df, run, T.StructType([*df.schema.fields, T.StructField("_digest", T.BinaryType())]))
+    return map_batches(df, run, T.StructType([*df.schema.fields, T.StructField("_digest", T.BinaryType())]), _forget)
 
 
 def _sketched(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -184,6 +188,7 @@ def _sketched(df: DataFrame, key: str, text: str) -> DataFrame:
         df.select(F.col(key).cast("long"), F.col(text)),
         run,
         "id long, digest binary, sketch array<long>",
+        _forget,
     )
 
 
@@ -198,7 +203,7 @@ def _sequences(df: DataFrame, text: str) -> DataFrame:
             names=["digest", "words"],
         )
 
-    return map_batches(df.select(text), run, "digest binary, words binary")
+    return map_batches(df.select(text), run, "digest binary, words binary", _forget)
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -234,7 +239,7 @@ def _linked(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], names=["a", "b"])
 
     joined = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "words_a", "words_b")
-    return map_batches(joined, run, "a long, b long")
+    return map_batches(joined, run, "a long, b long", _forget)
 
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -459,9 +464,9 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """One row of each class: the one that names it; of rows with that id and text, any one."""
     _, found = _classes_of_nodes(df, key, text)
     staying = found.filter("stays").select(F.col("digest").alias("_d"), F.col("first").alias("_first"))
-    kept = list(df.columns)
-    same = (F.col("_digest") == F.col("_d")) & F.col(key).cast("long").eqNullSafe(F.col("_first"))
+    others = [c for c in df.columns if c != text]
+    rows = df.select(in_one(others), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    same = (F.col("_digest") == F.col("_d")) & F.col("id").eqNullSafe(F.col("_first"))
     # At most the rows that repeat an id and a text meet here; one of them is kept.
-    return (
-        _with_digest(df, text).join(staying, same).dropDuplicates(["_digest"]).select(*kept)
-    )
+    single = _with_digest(rows, "text").join(staying, same).dropDuplicates(["_digest"])
+    return single.select(*out_of_one(df.columns, text=text))

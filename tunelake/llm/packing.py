@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tunelake.llm.common import small_batches
+from tunelake.llm.common import give_back, small_batches
 from tunelake.session import ship_package, written
 
 CAPACITY, END_ID = 4096, 1
@@ -224,6 +224,7 @@ def token_pieces(
         yield from map(run, small_batches(batches))
         if release:
             _worker_tokens.cache_clear()
+            give_back()
 
     ship_package(df.sparkSession)
     return df.select(F.col(key), F.col(text)).mapInArrow(run_task, schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunelake.llm.common import small_batches
+from tunelake.llm.common import give_back, in_one, out_of_one, small_batches
 from tunelake.session import ship_package, written
 
 NEAR_WORDS, NEAR_CHARACTERS, SHORTEST_TERM = 5, 200, 3
@@ -123,7 +123,12 @@ def _terms_near(text: str, span: Span, spans: list[Span]) -> list[str]:
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(lambda batches: function(small_batches(batches)), schema)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(small_batches(batches))
+        give_back()
+
+    return df.mapInArrow(each, schema)
 
 
 def mentions(df: DataFrame, text: str = "text") -> DataFrame:
@@ -331,19 +336,20 @@ def sanitised_text(text: str, terms: list[dict]) -> str:
 
 def sanitise(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with entities and disclosing terms replaced in ``text``; all rows and columns stay."""
-    kept = list(df.columns)
+    others = [c for c in df.columns if c != text]
+    rows = df.select(in_one(others), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
                 None if value is None else sanitised_text(value, terms)
                 for value, terms in zip(
-                    batch.column(text).to_pylist(), batch.column("_terms").to_pylist()
+                    batch.column("text").to_pylist(), batch.column("_terms").to_pylist()
                 )
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in kept],
-                names=kept,
+                [batch.column("own"), pa.array(texts, pa.string())], names=["own", "text"]
             )
 
-    return _map(_with_terms(df, disclosing_terms(df, text), text), run, df.schema)
+    hidden = _map(_with_terms(rows, disclosing_terms(rows), "text"), run, rows.schema)
+    return hidden.select(*out_of_one(df.columns, text=text))

@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunelake.llm.common import in_one, out_of_one
 from tunelake.session import written
 
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
@@ -194,14 +195,14 @@ def score(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> D
     """
     new = [*Counts, "base_failed", "good", "kept"]
     kept = [c for c in keep or df.columns if c.lower() not in new]
-    measured = df.select(*kept, measures(F.col(text)).alias("_m"))
+    measured = df.select(in_one(kept), measures(F.col(text)).alias("_m"))
     votes = F.lit(0)
-    voted = measured.select(*kept, F.col("_m.*"))
+    voted = measured.select("own", F.col("_m.*"))
     for rule in _votes():
         votes = votes * 3 + rule + 1
     voted = written(
         voted.select(
-            *kept,
+            "own",
             "w.n_words",
             "w.word_chars",
             "w.n_symbols",
@@ -228,9 +229,9 @@ def score(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> D
     )
     # One row for each pattern that occurs: never more than 3 to the power of the number of rules.
     return voted.join(F.broadcast(verdicts), F.col("_votes") == F.col("_code")).select(
-        *kept,
+        "own",
         *Counts,
         failed.alias("base_failed"),
         "good",
         (~failed & (F.col("good") >= KEEP_FROM)).alias("kept"),
-    )
+    ).select(*out_of_one(kept), *new)

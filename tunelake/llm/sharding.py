@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunelake.llm.common import in_one, out_of_one
 from tunelake.session import ship_package, written
 
 SHARDS = 40
@@ -208,7 +209,7 @@ def shard(
     kept = [c for c in df.columns if c.lower() not in ("size", "shard", "slot")]
     rows = written(
         df.select(
-            *kept,
+            in_one(kept),
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_hash"),
             F.monotonically_increasing_id().alias("_place"),
             text_size(text).alias("_size"),
@@ -236,8 +237,8 @@ def shard(
 
     in_piece = Window.partitionBy("_at.piece").orderBy("_hash", "_place")
     return rows.withColumn("_at", find("_hash", "_place")).select(
-        *kept,
+        "own",
         F.col("_size").alias("size"),
         F.col("_at.shard").alias("shard"),
         (F.row_number().over(in_piece) - 1 + F.col("_at.first")).alias("slot"),
-    )
+    ).select(*out_of_one(kept), "size", "shard", "slot")
