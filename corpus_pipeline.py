@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import language, near_duplicates, packing, privacy, quality
+from tunelake.llm.common import in_one, out_of_one
 from tunelake.session import written
 
 #: Words that a worker keeps for packing; less than for packing alone, as stages share the workers.
@@ -33,12 +34,12 @@ def _small_batches(spark: SparkSession) -> None:
 
 
 def _kept_rows(
-    docs: DataFrame, new: Iterable[str], judge: Callable[[DataFrame], DataFrame]
+    docs: DataFrame, needed: Iterable[str], judge: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """The rows that ``judge`` marks as ``kept``; columns named like those it adds are put aside."""
-    aside = {c: f"_own_{c}" for c in docs.columns if c.lower() in new}
-    judged = judge(docs.withColumnsRenamed(aside)).filter("kept")
-    return judged.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
+    """The rows that ``judge`` marks as ``kept``; it sees the columns it needs, the others wait in one."""
+    others = [c for c in docs.columns if c not in needed]
+    judged = judge(docs.select(in_one(others).alias("document"), *needed)).filter("kept")
+    return judged.withColumnRenamed("document", "own").select(*out_of_one(docs.columns, **{c: c for c in needed}))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +48,14 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = language.fit(docs, "text", "lang")
     return _kept_rows(
         docs,
-        ("language", "probability", "kept"),
+        ("text", "lang", "source"),
         lambda df: language.identify(df, model, declared="lang", host="source"),
     )
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail the base rules or are more likely bad than good go."""
-    return _kept_rows(docs, (*quality.Counts, "base_failed", "good", "kept"), quality.score)
+    return _kept_rows(docs, ("text",), quality.score)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
