@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+import xxhash
 
 from tunelake.llm import privacy
 
@@ -65,29 +66,58 @@ def documents():
     return given
 
 
+WORD = r"[^\W_]+"
+
+
+def terms_of(words, text):
+    """Words of two characters or more and pairs with one space between."""
+    found = {w[0].lower() for w in words if len(w[0].lower()) >= 2}
+    return found | {f"{a[0].lower()} {b[0].lower()}" for a, b in zip(words, words[1:]) if text[a.end() : b.start()] == " "}
+
+
 def shares(given):
     """Disclosed shares by brute force."""
-    total, near, entities, contexts, holds = len(given), {}, {}, {}, {}
+    total, met, entities, contexts, holds = len(given), {}, {}, {}, {}
     for n, (_, text) in enumerate(given):
         text = text or ""
-        for word in set(re.findall(r"[^\W_]+", text.lower())):
-            holds.setdefault(word, set()).add(n)
+        for term in terms_of(list(re.finditer(WORD, text)), text):
+            holds.setdefault(term, set()).add(n)
         spans = plain_spans(text)
+        apart = [m for m in re.finditer(WORD, text) if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
         for start, end, kind in spans:
             entity = f"{kind}:{text[start:end].lower()}"
             entities.setdefault(entity, set()).add(n)
-            around = re.findall(r"[^\W_]+", text[:start].lower())[-5:]
-            around += re.findall(r"[^\W_]+", text[end:].lower())[:5]
-            for word in around:
-                near.setdefault((word, entity), set()).add(n)
-                contexts.setdefault((word, entity), set()).add(tuple(around))
+            block = sum(m.start() < start for m in apart) // privacy.HALF_WINDOW
+            around = apart[max(0, block - 1) * privacy.HALF_WINDOW : (block + 2) * privacy.HALF_WINDOW]
+            lower = {m[0].lower() for m in around}
+            for term in terms_of(around, text):
+                if n not in met.setdefault((term, entity), set()):
+                    met[term, entity].add(n)
+                    least = tuple(
+                        tuple(sorted(xxhash.xxh32_intdigest(w, seed) for w in lower - set(term.split(" ")))[:2])
+                        for seed in (1, 2)
+                    )
+                    contexts.setdefault((term, entity), []).append(least)
     found = {}
-    for (word, entity), both in near.items():
+    for (term, entity), both in met.items():
         known = math.log(total / len(entities[entity]))
-        if len(contexts[word, entity]) >= privacy.SUPPORT and len(word) >= 3 and known > 0:
-            pmi = math.log(len(both) * total / (len(holds[word]) * len(entities[entity])))
-            found[word] = max(found.get(word, 0), pmi / known)
-    return {word: s for word, s in found.items() if s >= privacy.GENERALISE}
+        different = max(len(set(c)) for c in zip(*contexts[term, entity]))
+        chance = len(holds[term]) * len(entities[entity]) / total
+        if different > 1 and different > chance and known > 0:
+            tail = different - chance + different * math.log(chance / different)
+            if tail <= math.log(privacy.SIGNIFICANCE / len(met)):
+                found[term] = max(found.get(term, 0), math.log(len(both) / chance) / known)
+    found = {term: s for term, s in found.items() if s >= privacy.GENERALISE}
+    return {t: s for t, s in found.items() if " " not in t or not any(w in found for w in t.split(" "))}
+
+
+def spans_of(text, terms):
+    """Where the disclosing terms stand."""
+    words = list(re.finditer(WORD, text))
+    found = [(m.start(), m.end()) for m in words if m[0].lower() in terms]
+    found += [(a.start(), b.end()) for a, b in zip(words, words[1:])
+              if text[a.end() : b.start()] == " " and f"{a[0]} {b[0]}".lower() in terms]
+    return found
 
 
 def test_disclosing_terms(make, monkeypatch):
@@ -108,8 +138,8 @@ def test_find(make, rows):
     expected = []
     for key, text in given:
         base = plain_spans(text or "")
-        extra = [(m.start(), m.end(), "term") for m in re.finditer(r"[^\W_]+", text or "")
-                 if m[0].lower() in terms and not any(a < m.end() and m.start() < b for a, b, _ in base)]
+        extra = [(low, high, "term") for low, high in spans_of(text or "", terms)
+                 if not any(a < high and low < b for a, b, _ in base)]
         both = sorted(base + extra, key=lambda s: (s[0], privacy.KINDS.index(s[2])))
         expected.append((key, *(sum(s[2] == k for s in base) for k in privacy.KINDS[:4]),
                          hashlib.sha256(privacy.listed(base).encode()).hexdigest(), privacy.listed(both)))
@@ -117,6 +147,38 @@ def test_find(make, rows):
     assert any("term:" in r[-1] for r in got)
 
 
+def test_names_of_any_kind_and_distance(make, rows):
+    """A name twelve words away, one sixty words away, a short one, one of common words, one in other letters."""
+    pick = random.Random(12)
+    common = [f"word{i}" for i in range(400)]
+
+    def prose(n):
+        return " ".join(pick.choice(common) for _ in range(n))
+
+    def person(i):
+        return {
+            "ann@x.example.org": f"Quimby {prose(12)} ann@x.example.org {prose(30)}",
+            "bob@x.example.org": f"{prose(5)} bob@x.example.org {prose(60)} Ruthven {prose(9)}",
+            "wu@x.example.org": f"{prose(20)} Wu {prose(7)} wu@x.example.org",
+            "gray@x.example.org": f"{prose(9)} April Rose {prose(15)} gray@x.example.org {prose(20)}",
+            "ist@x.example.org": f"{prose(9)} İSTANBUL {prose(15)} ist@x.example.org {prose(20)}",
+        }
+
+    texts = [text for i in range(12) for text in person(i).values()]
+    texts += [f"{prose(40)} {pick.choice(['April', 'Rose'])} {prose(20)}" for _ in range(300)]
+    texts += [f"{prose(90)} 10.0.0.{i % 200}" for i in range(600)]
+    copied = f"Zyx {prose(50)} copied@x.example.org {prose(40)}"
+    texts += [copied] * 30 + [copied.replace("word7 ", "other "), copied + " end"] * 4
+    given = list(enumerate(texts))
+    got = {r.term: r.share for r in privacy.disclosing_terms(make(given, "doc_id long, text string")).collect()}
+    assert got.keys() == shares(given).keys()
+    assert got.keys() == {"quimby", "ruthven", "wu", "april rose", "İstanbul".lower()}
+    hidden = dict(rows(privacy.sanitise(make(given, "doc_id long, text string"))))
+    assert "April Rose" not in hidden[3] and any("April" in t for t in hidden.values())
+    assert not any("Wu" in t or "İSTANBUL" in t for t in hidden.values())
+    assert [hidden[i] for i in range(60, 360)] == texts[60:360]
+
+
 def test_sanitise(make, rows):
     given = [*documents(), (None, None), (301, ""), (302, "Zorro: 10.0.0.1, +49 30 1234567")]
     got = dict(rows(privacy.sanitise(make([(*g, "x") for g in given],

@@ -5,11 +5,19 @@ strongly other terms reveal them. For a term t near an entity e in documents, wi
 
     PMI(t; e) = log( n(t, e) * N / (n(t) * n(e)) ),   IC(e) = log( N / n(e) ),
 
-and the disclosed share of e is PMI / IC: 1 if t never stands without e, 0 if the two are independent.
-Near means within ``NEAR_WORDS`` words. n counts documents; the pair must also have been seen in
-``SUPPORT`` different contexts, so that copies of one text, or a word seen once, prove nothing. Terms
-whose share reaches ``GENERALISE`` are generalised to the kind of entity wherever they stand, those
-that reach ``REMOVE`` are removed. All counts cover all documents.
+and the disclosed share of e is PMI / IC: 1 if t never stands without e, 0 if the two are independent. Terms
+are words of two characters or more, and pairs of words with one space between. A text is covered by
+overlapping windows of ``2 * HALF_WINDOW`` words, one beginning every ``HALF_WINDOW`` words; t is near e
+where a window holds both, which it does wherever at most ``HALF_WINDOW`` words lie between them. n counts
+documents, all of them.
+
+Whether a pair is more than chance is decided by the counts. By chance t and e would meet in n(t) n(e) / N
+documents. Against that stand the different contexts in which they meet; copies and near-copies of a
+text mostly count as one, as a context is known by its two words with the smallest hashes, t left aside (the
+larger count of two hash functions). A pair counts if so many contexts have a probability of ``SIGNIFICANCE`` at most, divided
+by the number of all pairs (Chernoff's bound of the Poisson tail). Terms whose share reaches
+``GENERALISE`` are generalised to the kind of entity wherever they stand, those that reach ``REMOVE`` are
+removed; a pair of words is no term where one of them is.
 
 Candidate terms and disclosing terms reach the tasks in blocks of bounded size.
 
@@ -21,12 +29,16 @@ empty table gives an empty table; ``find`` leaves other columns out, ``sanitise`
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-import zlib
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from heapq import nsmallest
+from itertools import chain
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +46,8 @@ from pyspark.sql import types as T
 from tunelake.llm.common import give_back, in_one, out_of_one, small_batches
 from tunelake.session import ship_package, written
 
-NEAR_WORDS, NEAR_CHARACTERS, SHORTEST_TERM = 5, 200, 3
-SUPPORT, GENERALISE, REMOVE = 4, 0.9, 0.99
+HALF_WINDOW, SHORTEST_TERM = 64, 2
+SIGNIFICANCE, GENERALISE, REMOVE = 0.01, 0.9, 0.99
 #: Terms that a pass over the documents looks for.
 BLOCK_TERMS = 500_000
 
@@ -107,18 +119,60 @@ def _entity(text: str, span: Span) -> str:
     return f"{kind}:{value.lower()}"
 
 
-def _terms_near(text: str, span: Span, spans: list[Span]) -> list[str]:
-    """The words next to a span, in order, without those that are part of an entity."""
-    start, end, _ = span
-    low, high = max(0, start - NEAR_CHARACTERS), min(len(text), end + NEAR_CHARACTERS)
-    before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0]
-    after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)]
-    near = [s for s in spans if s[1] > low and s[0] < high]
-    return [
-        m[0].lower()
-        for m in (*before[-NEAR_WORDS:], *after[:NEAR_WORDS])
-        if not any(s[0] < m.end() and m.start() < s[1] for s in near)
-    ]
+def _apart(text: str, spans: list[Span]) -> list[re.Match]:
+    """The words that are not part of a span, in order."""
+    found, i, end = [], 0, 0
+    for m in _WORD.finditer(text):
+        while i < len(spans) and spans[i][0] < m.end():
+            end = max(end, spans[i][1])
+            i += 1
+        if m.start() >= end:
+            found.append(m)
+    return found
+
+
+def _pair(text: str, first: re.Match, second: re.Match) -> str | None:
+    """Two words with one space between them, as a term."""
+    if text[first.end() : second.start()] != " ":
+        return None
+    return f"{first[0].lower()} {second[0].lower()}"
+
+
+def _least_words(words: Iterable[str], seed: int) -> list[tuple[int, str]]:
+    """The four words with the smallest hashes, which leave two where a term is put aside."""
+    return nsmallest(4, ((xxhash.xxh32_intdigest(w, seed), w) for w in words))
+
+
+def _context(hashes: list[int]) -> int:
+    """The first two of the hashes as one number."""
+    one, two = (*hashes[:2], 0, 0)[:2]
+    return one << 30 ^ two
+
+
+def near_terms(text: str, spans: list[Span]) -> Iterator[tuple[str, str, int, int]]:
+    """Entity, term near it and two hashes of its context, once for each entity and term."""
+    words = _apart(text, spans)
+    starts = [m.start() for m in words]
+    seen: set[tuple[str, str]] = set()
+    done: set[tuple[str, int]] = set()
+    blocks: dict[int, tuple[list[str], list]] = {}
+    for span in spans:
+        entity, block = _entity(text, span), bisect_left(starts, span[0]) // HALF_WINDOW
+        if (entity, block) in done:
+            continue
+        done.add((entity, block))
+        if block not in blocks:
+            near = words[max(0, block - 1) * HALF_WINDOW : (block + 2) * HALF_WINDOW]
+            lower = {m[0].lower() for m in near}
+            terms = [w for w in lower if len(w) >= SHORTEST_TERM]
+            terms += {pair for a, b in zip(near, near[1:]) if (pair := _pair(text, a, b))}
+            blocks[block] = sorted(terms), [_least_words(lower, seed) for seed in (1, 2)]
+        terms, least = blocks[block]
+        for term in terms:
+            if (entity, term) not in seen:
+                seen.add((entity, term))
+                own = term.split(" ")
+                yield entity, term, *(_context([h for h, w in few if w not in own]) for few in least)
 
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
@@ -132,31 +186,26 @@ def _map(df: DataFrame, function, schema) -> DataFrame:
 
 
 def mentions(df: DataFrame, text: str = "text") -> DataFrame:
-    """A row for each document, entity in it and term near the entity, with a digest of the context.
+    """A row for each document, entity in it and term near the entity, with two hashes of the context.
 
     One row without a term stands for the entity itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, list] = {"entity": [], "term": [], "context": []}
+            found: dict[str, list] = {"entity": [], "term": [], "one": [], "other": []}
             for value in batch.column(0).to_pylist():
-                seen = set()
-                for span in (spans := find_entities(value or "")):
-                    entity = _entity(value, span)
-                    terms = _terms_near(value, span, spans)
-                    context = zlib.crc32(" ".join(terms).encode())
-                    for term in (None, *terms):
-                        if (entity, term) in seen or term and len(term) < SHORTEST_TERM:
-                            continue
-                        seen.add((entity, term))
-                        for column, cell in zip(found.values(), (entity, term, context)):
-                            column.append(cell)
+                spans = find_entities(value or "")
+                rows = [(entity, None, 0, 0) for entity in sorted({_entity(value, s) for s in spans})]
+                for row in chain(rows, near_terms(value, spans) if spans else ()):
+                    for column, cell in zip(found.values(), row):
+                        column.append(cell)
             yield pa.RecordBatch.from_pydict(
-                found, pa.schema({"entity": pa.string(), "term": pa.string(), "context": pa.int64()})
+                found,
+                pa.schema({"entity": pa.string(), "term": pa.string(), "one": pa.int64(), "other": pa.int64()}),
             )
 
-    return _map(df.select(text), run, "entity string, term string, context long")
+    return _map(df.select(text), run, "entity string, term string, one long, other long")
 
 
 def _blocks(terms: DataFrame) -> Iterator[list]:
@@ -170,13 +219,20 @@ def document_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> Data
     """For each of the ``terms`` (column ``term``) the documents that hold it."""
     total = None
     for block in _blocks(terms.select("term").distinct()):
-        wanted = df.sparkSession.sparkContext.broadcast(frozenset(row["term"] for row in block))
+        names = frozenset(row["term"] for row in block)
+        pairs = frozenset(tuple(name.split(" ")) for name in names if " " in name)
+        wanted = df.sparkSession.sparkContext.broadcast((names, pairs))
 
         def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 counts = Counter()
                 for value in batch.column(0).to_pylist():
-                    counts.update(wanted.value.intersection(_WORD.findall((value or "").lower())))
+                    words = [w.lower() for w in _WORD.findall(value or "")]
+                    counts.update(wanted.value[0].intersection(words))
+                    if wanted.value[1] and wanted.value[1].intersection(zip(words, words[1:])):
+                        places = list(_WORD.finditer(value))
+                        held = {_pair(value, a, b) for a, b in zip(places, places[1:])}
+                        counts.update(wanted.value[0].intersection(held))
                 yield pa.RecordBatch.from_pydict(
                     {"term": list(counts), "n": list(counts.values())},
                     pa.schema({"term": pa.string(), "n": pa.int64()}),
@@ -197,50 +253,62 @@ def disclosing_terms(df: DataFrame, text: str = "text", share: float = GENERALIS
     Of several entities the one that is disclosed most counts.
     """
     found = written(mentions(df, text), "mentions")
-    pairs = (
+    met = (
         found.filter("term is not null")
-        .groupBy("entity", "term", "context")
+        .groupBy("entity", "term", "one", "other")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
-        .agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("contexts"))
-        .filter(F.col("contexts") >= SUPPORT)
+        .agg(
+            F.sum("n").alias("together"),
+            F.greatest(F.countDistinct("one"), F.countDistinct("other")).alias("contexts"),
+        )
     )
-    pairs = written(pairs, "pairs")
+    met = written(met, "pairs")
+    pairs = met.filter("contexts > 1")  # one context proves nothing
     if pairs.isEmpty():
         return pairs.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("share"))
-    total = df.count()
+    tests, total = met.count(), df.count()
     entities = (
         found.filter("term is null").groupBy("entity").agg(F.count(F.lit(1)).alias("mentioned"))
     )
     terms = document_counts(df, pairs, text)
     known = F.log(F.lit(float(total)) / F.col("mentioned"))
-    pmi = F.log(
-        F.col("together") * F.lit(float(total)) / (F.col("documents") * F.col("mentioned"))
-    )
+    chance = F.col("documents") * F.col("mentioned") / F.lit(float(total))
+    pmi = F.log(F.col("together") / chance)
+    tail = F.col("contexts") - chance + F.col("contexts") * F.log(chance / F.col("contexts"))
     scored = (
         pairs.join(entities, "entity")
         .join(terms, "term")
-        .filter(known > 0)
+        .filter((known > 0) & (F.col("contexts") > chance) & (tail <= math.log(SIGNIFICANCE / tests)))
         .withColumn("share", pmi / known)
         .filter(F.col("share") >= share)
         .withColumn("kind", F.split_part("entity", F.lit(":"), F.lit(1)))
     )
-    best = scored.groupBy("term").agg(
+    by_kind = scored.groupBy("term", "kind").agg(F.max("share").alias("share"))
+    best = by_kind.groupBy("term").agg(
         F.max("share").alias("share"), F.max_by("kind", F.struct("share", "kind")).alias("kind")
     )
-    return written(best.select("term", "kind", "share"), "disclosing")
+    best = written(best.select("term", "kind", "share"), "disclosing")
+    words = best.filter(~F.contains("term", F.lit(" "))).select(F.col("term").alias("word"))
+    of_pairs = best.filter(F.contains("term", F.lit(" ")))
+    covered = of_pairs.select("term", F.explode(F.split("term", " ")).alias("word")).join(words, "word")
+    pairs_left = of_pairs.join(covered.select("term").distinct(), "term", "left_anti")
+    return written(best.filter(~F.contains("term", F.lit(" "))).unionByName(pairs_left), "disclosing")
 
 
 def _term_spans(text: str, spans: list[Span], terms: dict[str, str]) -> list[tuple[int, int, str]]:
-    """Words that are disclosing terms, outside the spans: start, end, term."""
+    """Words, and pairs of words, that are disclosing terms, outside the spans: start, end, term."""
     if not terms:
         return []
-    found = []
+    found, before, pairs = [], None, any(" " in term for term in terms)
     for m in _WORD.finditer(text):
         word = m[0].lower()
-        if word in terms and not any(s[0] < m.end() and m.start() < s[1] for s in spans):
+        if word in terms:
             found.append((m.start(), m.end(), word))
-    return found
+        if pairs and before is not None and (pair := _pair(text, before, m)) in terms:
+            found.append((before.start(), m.end(), pair))
+        before = m
+    return [(a, b, term) for a, b, term in found if not any(s[0] < b and a < s[1] for s in spans)]
 
 
 def _with_terms(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
