@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs
@@ -15,47 +17,79 @@ from tunelake.functions.paths import artifact_key, contains_any, relative_key, r
 from tunelake.session import ship_package, written
 
 
-_LISTED = "path string, is_folder boolean, length long, modificationTime timestamp"
+_LISTED = "path string, is_folder boolean, part int, parts int, length long, modificationTime timestamp"
+_LISTED_ARROW = pa.schema(
+    {"path": pa.string(), "is_folder": pa.bool_(), "part": pa.int32(), "parts": pa.int32(),
+     "length": pa.int64(), "modificationTime": pa.timestamp("us", "UTC")}
+)
+#: Entries that a task lists of one folder, into how many parts a larger one is dealt, rows of a batch.
+LARGE_FOLDER, PARTS, LISTED_ROWS = 20_000, 64, 4096
+
+
+def _entries(folder: str, part: int, parts: int) -> Iterator[tuple]:
+    """Name, whether it is a folder, size and time of the entries whose name belongs to the part."""
+
+    def own(name: str) -> bool:
+        return parts == 1 or zlib.crc32(name.encode("utf-8", "surrogateescape")) % parts == part
+
+    system, inside = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
+    if isinstance(system, fs.LocalFileSystem):  # one name after the other; only own ones are looked at
+        with os.scandir(inside) as found:
+            for entry in found:
+                if own(entry.name):
+                    try:
+                        is_folder, facts = entry.is_dir(), entry.stat()
+                    except FileNotFoundError:  # gone meanwhile, or a link to nothing
+                        continue
+                    time = datetime.fromtimestamp(facts.st_mtime, timezone.utc)
+                    yield entry.name, is_folder, 0 if is_folder else facts.st_size, time
+        return
+    for entry in system.get_file_info(fs.FileSelector(inside)):
+        if own(entry.base_name):
+            yield entry.base_name, entry.type == fs.FileType.Directory, entry.size or 0, entry.mtime
 
 
 def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The entries of each folder, every name among them."""
-    for batch in batches:
-        found: list[list] = [[], [], [], []]
-        for folder in batch.column(0).to_pylist():
-            system, inside = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
-            for entry in system.get_file_info(fs.FileSelector(inside)):
-                cells = (
-                    f"{folder.rstrip('/')}/{entry.base_name}",
-                    entry.type == fs.FileType.Directory,
-                    entry.size or 0,
-                    entry.mtime,
-                )
-                for column, cell in zip(found, cells):
-                    column.append(cell)
-        kinds = (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(found, kinds)],
-            names=["path", "is_folder", "length", "modificationTime"],
+    """The entries of folders, every name among them; of a large one the parts that are to be listed."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, field.type) for column, field in zip(zip(*rows), _LISTED_ARROW)], schema=_LISTED_ARROW
         )
 
+    for given in batches:
+        for folder, part, parts in zip(*(column.to_pylist() for column in given.columns)):
+            rows: list[tuple] = []
+            for name, is_folder, length, time in _entries(folder, part, parts):
+                rows.append((f"{folder.rstrip('/')}/{name}", is_folder, 0, 1, length, time))
+                if parts == 1 and len(rows) > LARGE_FOLDER:
+                    rows = [(folder, True, i, PARTS, 0, None) for i in range(PARTS)]
+                    break
+                if parts > 1 and len(rows) >= LISTED_ROWS:
+                    yield batch(rows)
+                    rows = []
+            if rows:
+                yield batch(rows)
+
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """Every file under a folder, at any depth: ``path, length, modificationTime``.
 
     Names that begin with a dot or an underscore are there too. Folders are listed in the tasks, one
-    level after the other, and each level is written once, so no listing is held by the driver. For a
-    store that keeps an inventory of its objects, that table serves as listing itself.
+    level after the other, and each level is written once, so no listing is held by the driver. A folder
+    with more than ``LARGE_FOLDER`` entries is dealt by its names to ``PARTS`` tasks of the next round,
+    each of which looks at its own share only and passes on a bounded batch at a time. For a store that
+    keeps an inventory of its objects, that table serves as listing itself.
     """
     ship_package(spark)
     start = root if re.match("[A-Za-z][A-Za-z0-9+.-]*:", root) else "file:" + os.path.abspath(root)
-    folders = spark.createDataFrame([(start.rstrip("/"),)], "path string")
+    folders = spark.createDataFrame([(start.rstrip("/"), 0, 1)], "path string, part int, parts int")
     files = None
     while True:
-        listed = written(folders.repartition("path").mapInArrow(_list_folders, _LISTED), "listing")
-        here = listed.filter(~F.col("is_folder")).drop("is_folder")
+        listed = written(folders.repartition("path", "part").mapInArrow(_list_folders, _LISTED), "listing")
+        here = listed.filter(~F.col("is_folder")).drop("is_folder", "part", "parts")
         files = here if files is None else files.unionByName(here)
-        folders = listed.filter("is_folder").select("path")
+        folders = listed.filter("is_folder").select("path", "part", "parts")
         if folders.isEmpty():
             return files
 
