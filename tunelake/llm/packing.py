@@ -176,10 +176,12 @@ def token_pieces(
     end_id: int = END_ID,
     cached_words: int = CACHED_WORDS,
     release: bool = False,
+    characters: int = CHARACTERS,
 ) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids (little-endian unsigned 32 bit).
 
-    A worker keeps the ids of ``cached_words`` words, about 250 bytes each: fewer take longer. With
+    A worker keeps the ids of ``cached_words`` words, about 250 bytes each, and works on ``characters`` of
+    text at a time, which take about 60 bytes each when their words are new: fewer take longer. With
     ``release`` it gives them and the tokenizer up after each task, for jobs that follow in the same
     workers.
     """
@@ -199,7 +201,7 @@ def token_pieces(
         tokens = _worker_tokens(file, cached_words)
         texts = [value or "" for value in batch.column(text).to_pylist()]
         rows, pieces, starts, lengths, ids = [], [], [], [], []
-        for low, high in _portions(texts, CHARACTERS):
+        for low, high in _portions(texts, characters):
             for row, raw in enumerate(tokens.encode(texts[low:high]), low):
                 raw += end
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
