@@ -15,8 +15,9 @@ from tunelake.llm import language, near_duplicates, packing, privacy, quality
 from tunelake.llm.common import in_one, out_of_one
 from tunelake.session import written
 
-#: Words that a worker keeps for packing; less than for packing alone, as stages share the workers.
-CACHED_WORDS = 250_000
+#: Words that a worker keeps for packing, and characters that it works on at a time; less than for packing
+#: alone, as the executor has grown over the stages before and other workers wait beside it.
+CACHED_WORDS, CHARACTERS = 100_000, 250_000
 
 #: Rows that Spark hands to a Python worker at a time: texts pass in and out, and a batch of the default
 #: size holds tens of megabytes several times over.
@@ -76,7 +77,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the place of each document's pieces in sequences of bounded length."""
     _small_batches(spark)
-    return packing.pack(docs, cached_words=CACHED_WORDS, release=True)
+    return packing.pack(docs, cached_words=CACHED_WORDS, characters=CHARACTERS, release=True)
 
 
 STAGES = [
