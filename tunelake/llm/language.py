@@ -256,7 +256,11 @@ def identify(
     declared: str | None = "declared",
     host: str | None = "host",
 ) -> DataFrame:
-    """``df`` with ``language``, its ``probability`` and ``kept``. Two passes over the texts."""
+    """``df`` with ``language``, its ``probability`` and ``kept``.
+
+    The texts are scored four times: for the hosts' sums, once more for the sum of all of them, for the
+    declarations, and for the result.
+    """
     languages, table = model
     size = len(languages) + 1
     new = ("language", "probability", "kept")
