@@ -47,6 +47,11 @@ def test_limits_by_brute_force(make, rows, count, monkeypatch):
     ordered = sorted(lengths)
     need = [0.5 * len(ordered), 0.9 * len(ordered), len(ordered)]
     assert list(got)[1:] == [ordered[-(-int(n * 1000) // 1000) - 1 if n == int(n) else int(n)] for n in need]
+    shares = [0.001, 0.1, 0.5, 0.9, 0.99, 1.0]
+    marked = token_counts.with_quantiles(table, shares).filter("quantiles is not null").collect()
+    found = {float(s): r["length"] for r in marked for s in r["quantiles"].split(",")}
+    assert found == {s: next(x for n, x in enumerate(ordered, 1) if n / len(ordered) >= s) for s in shares}
+    assert all(r["documents"] > 0 for r in marked)
 
 
 def test_empty_table(spark, rows):

@@ -106,7 +106,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op3_length_histogram")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    """Every length and the usual context limits, with the quantiles that lie at each length."""
+    histogram = token_counts.length_histogram(table(spark, sf_dir, "documents"))
+    return token_counts.with_quantiles(
+        token_counts.limits(histogram, [512, 1024, 2048, 4096, 8192, 16_384, 32_768, 131_072]),
+        [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0],
+    )
 
 
 def _op8_sql() -> str:

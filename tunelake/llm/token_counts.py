@@ -127,3 +127,18 @@ def quantiles(table: DataFrame, shares: list[float]) -> DataFrame:
             for share in shares
         )
     )
+
+
+def with_quantiles(table: DataFrame, shares: list[float]) -> DataFrame:
+    """``table`` of ``limits`` with ``quantiles``: the shares whose quantile is this length, else null.
+
+    A row tells it alone: its share of documents is reached, and without its own documents it is not.
+    """
+    total = F.col("documents_within") + F.col("documents_beyond")
+    shorter = F.try_divide(F.col("documents_within") - F.col("documents"), total)
+    reached = F.filter(
+        F.array(*(F.lit(float(s)) for s in shares)),
+        lambda s: (F.col("share_within") >= s) & (shorter < s),
+    )
+    named = F.array_join(F.transform(reached, lambda s: s.cast("string")), ",")
+    return table.withColumn("quantiles", F.when(F.size(reached) > 0, named))
