@@ -253,21 +253,24 @@ def disclosing_terms(df: DataFrame, text: str = "text", share: float = GENERALIS
     Of several entities the one that is disclosed most counts.
     """
     found = written(mentions(df, text), "mentions")
-    met = (
-        found.filter("term is not null")
-        .groupBy("entity", "term", "one", "other")
+    # Most pairs are met once; they drop out by a hash of eight bytes, before their names are moved.
+    met = found.filter("term is not null").withColumn("pair", F.xxhash64("entity", "term"))
+    times = written(met.groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "times")
+    again = met.join(times.filter("n > 1").select("pair"), "pair")
+    pairs = written(
+        again.groupBy("entity", "term", "one", "other")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
         .agg(
             F.sum("n").alias("together"),
             F.greatest(F.countDistinct("one"), F.countDistinct("other")).alias("contexts"),
         )
+        .filter("contexts > 1"),  # one context proves nothing
+        "pairs",
     )
-    met = written(met, "pairs")
-    pairs = met.filter("contexts > 1")  # one context proves nothing
     if pairs.isEmpty():
         return pairs.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("share"))
-    tests, total = met.count(), df.count()
+    tests, total = times.count(), df.count()
     entities = (
         found.filter("term is null").groupBy("entity").agg(F.count(F.lit(1)).alias("mentioned"))
     )
