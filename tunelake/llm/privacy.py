@@ -19,6 +19,8 @@ by the number of all pairs (Chernoff's bound of the Poisson tail). Terms whose s
 ``GENERALISE`` are generalised to the kind of entity wherever they stand, those that reach ``REMOVE`` are
 removed; a pair of words is no term where one of them is.
 
+What stands around an entity is kept as one row for each document, copies together, and only entities
+with several surroundings are spread out into pairs, as hashes until the counts have decided.
 Candidate terms and disclosing terms reach the tasks in blocks of bounded size.
 
 Defined results: a null text counts as empty and stays null when sanitised; repeated rows count as
@@ -35,11 +37,10 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from heapq import nsmallest
-from itertools import chain
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +51,8 @@ HALF_WINDOW, SHORTEST_TERM = 64, 2
 SIGNIFICANCE, GENERALISE, REMOVE = 0.01, 0.9, 0.99
 #: Terms that a pass over the documents looks for.
 BLOCK_TERMS = 500_000
+#: Rows, and characters of surroundings, that a worker gathers before it sends them on.
+MENTIONS, CHARACTERS = 50_000, 4_000_000
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -149,30 +152,52 @@ def _context(hashes: list[int]) -> int:
     return one << 30 ^ two
 
 
-def near_terms(text: str, spans: list[Span]) -> Iterator[tuple[str, str, int, int]]:
-    """Entity, term near it and two hashes of its context, once for each entity and term."""
+def _written_out(text: str, words: list[re.Match]) -> str:
+    """Words in small letters; a space between two where the text has just that, else a line end."""
+    parts = []
+    for before, word in zip([None, *words], words):
+        if before is not None:
+            parts.append(" " if text[before.end() : word.start()] == " " else "\n")
+        parts.append(word[0].lower())
+    return "".join(parts)
+
+
+def _terms(block: str) -> tuple[set[str], set[str]]:
+    """All words of a written-out block, and its terms: words long enough and pairs of words."""
+    words: set[str] = set()
+    pairs: set[str] = set()
+    for run in block.split("\n") if block else ():
+        parts = run.split(" ")
+        words.update(parts)
+        pairs.update(f"{a} {b}" for a, b in zip(parts, parts[1:]))
+    return words, pairs.union(w for w in words if len(w) >= SHORTEST_TERM)
+
+
+def surroundings(text: str, spans: list[Span]) -> dict[str, list[str]]:
+    """For each entity of a text the words of the windows that hold it, written out."""
     words = _apart(text, spans)
     starts = [m.start() for m in words]
-    seen: set[tuple[str, str]] = set()
-    done: set[tuple[str, int]] = set()
-    blocks: dict[int, tuple[list[str], list]] = {}
+    near: dict[str, dict[int, str]] = {}
+    blocks: dict[int, str] = {}
     for span in spans:
-        entity, block = _entity(text, span), bisect_left(starts, span[0]) // HALF_WINDOW
-        if (entity, block) in done:
-            continue
-        done.add((entity, block))
+        block = bisect_left(starts, span[0]) // HALF_WINDOW
         if block not in blocks:
-            near = words[max(0, block - 1) * HALF_WINDOW : (block + 2) * HALF_WINDOW]
-            lower = {m[0].lower() for m in near}
-            terms = [w for w in lower if len(w) >= SHORTEST_TERM]
-            terms += {pair for a, b in zip(near, near[1:]) if (pair := _pair(text, a, b))}
-            blocks[block] = sorted(terms), [_least_words(lower, seed) for seed in (1, 2)]
-        terms, least = blocks[block]
-        for term in terms:
-            if (entity, term) not in seen:
-                seen.add((entity, term))
-                own = term.split(" ")
-                yield entity, term, *(_context([h for h, w in few if w not in own]) for few in least)
+            around = words[max(0, block - 1) * HALF_WINDOW : (block + 2) * HALF_WINDOW]
+            blocks[block] = _written_out(text, around)
+        near.setdefault(_entity(text, span), {})[block] = blocks[block]
+    return {entity: list(held.values()) for entity, held in near.items()}
+
+
+def near_terms(near: list[str]) -> Iterator[tuple[str, int, int]]:
+    """Each term of an entity's surroundings once, with two hashes of its context."""
+    seen: set[str] = set()
+    for block in near:
+        words, terms = _terms(block)
+        least = [_least_words(words, seed) for seed in (1, 2)]
+        for term in terms - seen:
+            own = term.split(" ")
+            yield term, *(_context([h for h, w in few if w not in own]) for few in least)
+        seen |= terms
 
 
 def _map(df: DataFrame, function, schema) -> DataFrame:
@@ -185,27 +210,115 @@ def _map(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(each, schema)
 
 
-def mentions(df: DataFrame, text: str = "text") -> DataFrame:
-    """A row for each document, entity in it and term near the entity, with two hashes of the context.
+def sightings(df: DataFrame, text: str = "text") -> DataFrame:
+    """Each entity with the words around it in a document and the number of terms there.
 
-    One row without a term stands for the entity itself.
+    ``n`` documents have the same: copies are one row.
     """
+    schema = pa.schema({"entity": pa.string(), "near": pa.list_(pa.string()), "terms": pa.int64()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, list] = {"entity": [], "term": [], "one": [], "other": []}
+            found: list[tuple] = []
+            held = 0
             for value in batch.column(0).to_pylist():
                 spans = find_entities(value or "")
-                rows = [(entity, None, 0, 0) for entity in sorted({_entity(value, s) for s in spans})]
-                for row in chain(rows, near_terms(value, spans) if spans else ()):
-                    for column, cell in zip(found.values(), row):
-                        column.append(cell)
-            yield pa.RecordBatch.from_pydict(
-                found,
-                pa.schema({"entity": pa.string(), "term": pa.string(), "one": pa.int64(), "other": pa.int64()}),
-            )
+                for entity, near in surroundings(value, spans).items() if spans else ():
+                    terms = len(set().union(*(_terms(block)[1] for block in near)))
+                    found.append((entity, near, terms))
+                    held += sum(map(len, near))
+                    if held >= CHARACTERS:
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
+                        found, held = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
+
+    rows = _map(df.select(text), run, "entity string, near array<string>, terms long")
+    return rows.groupBy("entity", "near", "terms").agg(F.count(F.lit(1)).alias("n"))
+
+
+def mentions(seen: DataFrame) -> DataFrame:
+    """A row for each sighting and term in it, once for each of the two hashes of its context.
+
+    The second hash is told from the first by its last bit, and only the first carries ``n``.
+    """
+    schema = pa.schema(
+        {"entity": pa.string(), "mentioned": pa.int64(), "term": pa.string(), "context": pa.int64(), "n": pa.int64()}
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for row in batch.to_pylist():
+                for term, *contexts in near_terms(row["near"]):
+                    for other, context in enumerate(contexts):
+                        n = 0 if other else row["n"]
+                        found.append((row["entity"], row["mentioned"], term, context << 1 | other, n))
+                if len(found) >= MENTIONS:
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
+                    found = []
+            if found:
+                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
+
+    return _map(
+        seen.select("entity", "near", "n", "mentioned"),
+        run,
+        "entity string, mentioned long, term string, context long, n long",
+    )
 
-    return _map(df.select(text), run, "entity string, term string, one long, other long")
+
+def _tail(chance: Column) -> Column:
+    """The logarithm of the bound on the probability of so many contexts where ``chance`` is expected."""
+    contexts = F.col("contexts")
+    return contexts - chance + contexts * F.log(chance / contexts)
+
+
+def _pairs(df: DataFrame, total: int, text: str) -> tuple[DataFrame, int]:
+    """Entities and terms that may be more than chance, and the number of all pairs.
+
+    An entity seen in one surrounding only, however often copied, has one context with each term, which
+    proves nothing: its pairs are counted and not made. The others are counted by hashes, two of eight
+    bytes for each pair, and get their names back once the counts have decided: a term stands in at
+    least as many documents as the pair, so that the chance is at least what the pair alone gives.
+    """
+    seen = written(sightings(df, text), "sightings")
+    entities = written(
+        seen.groupBy("entity").agg(
+            F.sum("n").alias("mentioned"), F.count(F.lit(1)).alias("around"), F.sum("terms").alias("terms")
+        ),
+        "entities",
+    )
+    several = seen.join(entities.filter("around > 1").select("entity", "mentioned"), "entity")
+    keys = F.xxhash64("entity").alias("e"), F.xxhash64("term").alias("t")
+    counted = written(
+        mentions(several)
+        .groupBy(*keys, "context")
+        .agg(F.sum("n").alias("n"), F.max("mentioned").alias("mentioned"))
+        .groupBy("e", "t")
+        .agg(
+            F.sum("n").alias("together"),
+            F.max("mentioned").alias("mentioned"),
+            F.greatest(
+                F.count_if(F.col("context") % 2 == 0), F.count_if(F.col("context") % 2 != 0)
+            ).alias("contexts"),
+        ),
+        "counted",
+    )
+    alone = entities.filter("around = 1").agg(F.coalesce(F.sum("terms"), F.lit(0))).first()[0]
+    tests = alone + counted.count()
+    least = F.col("together") * F.col("mentioned") / F.lit(float(total))
+    likely = written(
+        counted.filter(
+            (F.col("contexts") > 1)
+            & (F.col("mentioned") < total)
+            & (F.col("contexts") > least)
+            & (_tail(least) <= math.log(SIGNIFICANCE / max(1, tests)) + 1e-9)
+        ),
+        "likely",
+    )
+    named = mentions(several.join(likely.select("e").distinct(), F.xxhash64("entity") == F.col("e"), "left_semi"))
+    names = named.filter(F.col("context") % 2 == 0).select("entity", "term", *keys).distinct()
+    return written(names.join(likely, ["e", "t"]).drop("e", "t"), "pairs"), tests
 
 
 def _blocks(terms: DataFrame) -> Iterator[list]:
@@ -252,37 +365,19 @@ def disclosing_terms(df: DataFrame, text: str = "text", share: float = GENERALIS
 
     Of several entities the one that is disclosed most counts.
     """
-    found = written(mentions(df, text), "mentions")
-    # Most pairs are met once; they drop out by a hash of eight bytes, before their names are moved.
-    met = found.filter("term is not null").withColumn("pair", F.xxhash64("entity", "term"))
-    times = written(met.groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "times")
-    again = met.join(times.filter("n > 1").select("pair"), "pair")
-    pairs = written(
-        again.groupBy("entity", "term", "one", "other")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term")
-        .agg(
-            F.sum("n").alias("together"),
-            F.greatest(F.countDistinct("one"), F.countDistinct("other")).alias("contexts"),
-        )
-        .filter("contexts > 1"),  # one context proves nothing
-        "pairs",
-    )
+    total = df.count()
+    pairs, tests = _pairs(df, total, text)
     if pairs.isEmpty():
         return pairs.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("share"))
-    tests, total = times.count(), df.count()
-    entities = (
-        found.filter("term is null").groupBy("entity").agg(F.count(F.lit(1)).alias("mentioned"))
-    )
     terms = document_counts(df, pairs, text)
     known = F.log(F.lit(float(total)) / F.col("mentioned"))
     chance = F.col("documents") * F.col("mentioned") / F.lit(float(total))
     pmi = F.log(F.col("together") / chance)
-    tail = F.col("contexts") - chance + F.col("contexts") * F.log(chance / F.col("contexts"))
     scored = (
-        pairs.join(entities, "entity")
-        .join(terms, "term")
-        .filter((known > 0) & (F.col("contexts") > chance) & (tail <= math.log(SIGNIFICANCE / tests)))
+        pairs.join(terms, "term")
+        .filter(
+            (known > 0) & (F.col("contexts") > chance) & (_tail(chance) <= math.log(SIGNIFICANCE / tests))
+        )
         .withColumn("share", pmi / known)
         .filter(F.col("share") >= share)
         .withColumn("kind", F.split_part("entity", F.lit(":"), F.lit(1)))
