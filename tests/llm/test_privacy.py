@@ -131,6 +131,47 @@ def test_disclosing_terms(make, monkeypatch):
     assert all(abs(got[word] - expected[word]) < 1e-9 for word in got)
 
 
+def test_common_words_are_no_candidates(make, monkeypatch):
+    """Words that stand near many entities are told by that, and not looked for in the documents."""
+    pick = random.Random(7)
+    common = [f"word{i}" for i in range(12)]
+    given = []
+    for i in range(600):
+        body = [pick.choice(common) for _ in range(6)] + [f"other{pick.randrange(400)}" for _ in range(20)]
+        if i < 300:
+            body.insert(9, f"p{i // 12}@x.example.org")
+        if i < 24:
+            body.insert(15, f"nick{i // 12}")
+        given.append((i, " ".join(body)))
+    asked = []
+    counts = privacy.document_counts
+    monkeypatch.setattr(
+        privacy, "document_counts",
+        lambda df, terms, text: asked.append({r.term for r in terms.select("term").distinct().collect()}) or counts(df, terms, text),
+    )
+    got = {r.term: r.share for r in privacy.disclosing_terms(make(given, "doc_id long, text string")).collect()}
+    expected = shares(given)
+    assert got.keys() == expected.keys() >= {"nick0", "nick1"}
+    assert all(abs(got[term] - expected[term]) < 1e-9 for term in got)
+    assert not asked[0] & set(common)
+
+
+def test_counts_of_a_task_are_sums(spark):
+    """A task sends each term on once, however many batches it has."""
+    texts = spark.range(5000, numPartitions=1).selectExpr("concat('wu lives here ', id) as text")
+    terms = spark.createDataFrame([("wu",), ("lives here",)], "term string")
+    counted = privacy.document_counts(texts, terms)
+    assert sorted(map(tuple, counted.collect())) == [("lives here", 5000), ("wu", 5000)]
+    sent = []
+    mapped = privacy._map
+    try:
+        privacy._map = lambda *given: sent.append(mapped(*given)) or sent[-1]
+        privacy.document_counts(texts, terms)
+    finally:
+        privacy._map = mapped
+    assert sent[0].count() == 2
+
+
 def test_find(make, rows):
     given = [*documents(), (None, None), (301, ""), (301, ""), (302, "Zorro: 10.0.0.1, +49 30 1234567")]
     got = rows(privacy.find(make([(*g, "x") for g in given], "doc_id long, text string, spans string")))

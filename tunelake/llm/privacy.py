@@ -20,7 +20,9 @@ by the number of all pairs (Chernoff's bound of the Poisson tail). Terms whose s
 removed; a pair of words is no term where one of them is.
 
 What stands around an entity is kept as one row for each document, copies together, and only entities
-with several surroundings are spread out into pairs, as hashes until the counts have decided.
+with several surroundings are spread out into pairs, as hashes until the counts have decided. A term stands in
+at least as many documents as it stands near entities in, so that common words drop out before the pass over
+the documents that counts the other terms exactly.
 Candidate terms and disclosing terms reach the tasks in blocks of bounded size.
 
 Defined results: a null text counts as empty and stays null when sanitised; repeated rows count as
@@ -213,9 +215,12 @@ def _map(df: DataFrame, function, schema) -> DataFrame:
 def sightings(df: DataFrame, text: str = "text") -> DataFrame:
     """Each entity with the words around it in a document and the number of terms there.
 
-    ``n`` documents have the same: copies are one row.
+    ``n`` documents have the same: copies are one row. Each of them counts for ``part`` by the number of
+    its entities, so that the parts of a document never come to more than 1.
     """
-    schema = pa.schema({"entity": pa.string(), "near": pa.list_(pa.string()), "terms": pa.int64()})
+    schema = pa.schema(
+        {"entity": pa.string(), "near": pa.list_(pa.string()), "terms": pa.int64(), "part": pa.float64()}
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,9 +228,10 @@ def sightings(df: DataFrame, text: str = "text") -> DataFrame:
             held = 0
             for value in batch.column(0).to_pylist():
                 spans = find_entities(value or "")
-                for entity, near in surroundings(value, spans).items() if spans else ():
+                around = surroundings(value, spans) if spans else {}
+                for entity, near in around.items():
                     terms = len(set().union(*(_terms(block)[1] for block in near)))
-                    found.append((entity, near, terms))
+                    found.append((entity, near, terms, 1 / len(around)))
                     held += sum(map(len, near))
                     if held >= CHARACTERS:
                         yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
@@ -233,17 +239,18 @@ def sightings(df: DataFrame, text: str = "text") -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
 
-    rows = _map(df.select(text), run, "entity string, near array<string>, terms long")
-    return rows.groupBy("entity", "near", "terms").agg(F.count(F.lit(1)).alias("n"))
+    rows = _map(df.select(text), run, "entity string, near array<string>, terms long, part double")
+    return rows.groupBy("entity", "near", "terms").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("part"))
 
 
 def mentions(seen: DataFrame) -> DataFrame:
     """A row for each sighting and term in it, once for each of the two hashes of its context.
 
-    The second hash is told from the first by its last bit, and only the first carries ``n``.
+    The second hash is told from the first by its last bit, and only the first carries ``n`` and ``part``.
     """
     schema = pa.schema(
-        {"entity": pa.string(), "mentioned": pa.int64(), "term": pa.string(), "context": pa.int64(), "n": pa.int64()}
+        {"entity": pa.string(), "mentioned": pa.int64(), "term": pa.string(), "context": pa.int64(),
+         "n": pa.int64(), "part": pa.float64()}
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +259,8 @@ def mentions(seen: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 for term, *contexts in near_terms(row["near"]):
                     for other, context in enumerate(contexts):
-                        n = 0 if other else row["n"]
-                        found.append((row["entity"], row["mentioned"], term, context << 1 | other, n))
+                        own = (0, 0.0) if other else (row["n"], row["part"])
+                        found.append((row["entity"], row["mentioned"], term, context << 1 | other, *own))
                 if len(found) >= MENTIONS:
                     yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
                     found = []
@@ -261,9 +268,9 @@ def mentions(seen: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], schema=schema)
 
     return _map(
-        seen.select("entity", "near", "n", "mentioned"),
+        seen.select("entity", "near", "n", "part", "mentioned"),
         run,
-        "entity string, mentioned long, term string, context long, n long",
+        "entity string, mentioned long, term string, context long, n long, part double",
     )
 
 
@@ -273,13 +280,14 @@ def _tail(chance: Column) -> Column:
     return contexts - chance + contexts * F.log(chance / contexts)
 
 
-def _pairs(df: DataFrame, total: int, text: str) -> tuple[DataFrame, int]:
-    """Entities and terms that may be more than chance, and the number of all pairs.
+def _pairs(df: DataFrame, total: int, text: str, share: float) -> tuple[DataFrame, int]:
+    """Entities and terms that may disclose ``share`` beyond chance, and the number of all pairs.
 
     An entity seen in one surrounding only, however often copied, has one context with each term, which
     proves nothing: its pairs are counted and not made. The others are counted by hashes, two of eight
     bytes for each pair, and get their names back once the counts have decided: a term stands in at
-    least as many documents as the pair, so that the chance is at least what the pair alone gives.
+    least as many documents as the pair, and as its parts over all entities come to, so that the chance is at
+    least and the share at most what these give.
     """
     seen = written(sightings(df, text), "sightings")
     entities = written(
@@ -293,10 +301,11 @@ def _pairs(df: DataFrame, total: int, text: str) -> tuple[DataFrame, int]:
     counted = written(
         mentions(several)
         .groupBy(*keys, "context")
-        .agg(F.sum("n").alias("n"), F.max("mentioned").alias("mentioned"))
+        .agg(F.sum("n").alias("n"), F.sum("part").alias("part"), F.max("mentioned").alias("mentioned"))
         .groupBy("e", "t")
         .agg(
             F.sum("n").alias("together"),
+            F.sum("part").alias("part"),
             F.max("mentioned").alias("mentioned"),
             F.greatest(
                 F.count_if(F.col("context") % 2 == 0), F.count_if(F.col("context") % 2 != 0)
@@ -306,14 +315,19 @@ def _pairs(df: DataFrame, total: int, text: str) -> tuple[DataFrame, int]:
     )
     alone = entities.filter("around = 1").agg(F.coalesce(F.sum("terms"), F.lit(0))).first()[0]
     tests = alone + counted.count()
-    least = F.col("together") * F.col("mentioned") / F.lit(float(total))
+    rare = counted.filter((F.col("contexts") > 1) & (F.col("mentioned") < total))
+    parts = counted.groupBy("t").agg(F.sum("part").alias("parts"))
+    # Sums of parts have rounding errors.
+    least = F.greatest("together", F.ceil(F.col("parts") - 1e-6)) * F.col("mentioned") / F.lit(float(total))
+    most = F.log(F.col("together") / least) / F.log(F.lit(float(total)) / F.col("mentioned"))
     likely = written(
-        counted.filter(
-            (F.col("contexts") > 1)
-            & (F.col("mentioned") < total)
-            & (F.col("contexts") > least)
+        rare.join(parts, "t")
+        .filter(
+            (F.col("contexts") > least)
             & (_tail(least) <= math.log(SIGNIFICANCE / max(1, tests)) + 1e-9)
-        ),
+            & (most >= share - 1e-9)
+        )
+        .drop("part", "parts"),
         "likely",
     )
     named = mentions(several.join(likely.select("e").distinct(), F.xxhash64("entity") == F.col("e"), "left_semi"))
@@ -329,16 +343,25 @@ def _blocks(terms: DataFrame) -> Iterator[list]:
 
 
 def document_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """For each of the ``terms`` (column ``term``) the documents that hold it."""
+    """For each of the ``terms`` (column ``term``) the documents that hold it.
+
+    A worker sums over its batches, and sends on ``MENTIONS`` counts at the least or what it has at the end.
+    """
     total = None
     for block in _blocks(terms.select("term").distinct()):
         names = frozenset(row["term"] for row in block)
         pairs = frozenset(tuple(name.split(" ")) for name in names if " " in name)
         wanted = df.sparkSession.sparkContext.broadcast((names, pairs))
 
-        def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
+        def sums(counts: Counter) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"term": list(counts), "n": list(counts.values())},
+                pa.schema({"term": pa.string(), "n": pa.int64()}),
+            )
+
+        def run(batches: Iterator[pa.RecordBatch], wanted=wanted, sums=sums) -> Iterator[pa.RecordBatch]:
+            counts = Counter()
             for batch in batches:
-                counts = Counter()
                 for value in batch.column(0).to_pylist():
                     words = [w.lower() for w in _WORD.findall(value or "")]
                     counts.update(wanted.value[0].intersection(words))
@@ -346,10 +369,10 @@ def document_counts(df: DataFrame, terms: DataFrame, text: str = "text") -> Data
                         places = list(_WORD.finditer(value))
                         held = {_pair(value, a, b) for a, b in zip(places, places[1:])}
                         counts.update(wanted.value[0].intersection(held))
-                yield pa.RecordBatch.from_pydict(
-                    {"term": list(counts), "n": list(counts.values())},
-                    pa.schema({"term": pa.string(), "n": pa.int64()}),
-                )
+                if len(counts) >= MENTIONS:
+                    yield sums(counts)
+                    counts = Counter()
+            yield sums(counts)
 
         part = (
             _map(df.select(text), run, "term string, n long")
@@ -366,7 +389,7 @@ def disclosing_terms(df: DataFrame, text: str = "text", share: float = GENERALIS
     Of several entities the one that is disclosed most counts.
     """
     total = df.count()
-    pairs, tests = _pairs(df, total, text)
+    pairs, tests = _pairs(df, total, text, share)
     if pairs.isEmpty():
         return pairs.select("term", F.lit("").alias("kind"), F.lit(0.0).alias("share"))
     terms = document_counts(df, pairs, text)
