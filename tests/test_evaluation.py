@@ -43,6 +43,27 @@ def test_no_samples(scored):
     assert tuple(row) == (0, 0, None)
 
 
+def test_pairs_of_a_small_file_are_parsed_by_many_tasks(spark, tmp_path):
+    """What one task scans, and a broadcast joins, is parsed by more."""
+    text = "concat('{\"a\": \"', sha2(string(id), 512), sha2(string(-id), 512), '\", \"b\": null}') as json"
+    side = spark.range(12_000, numPartitions=1).selectExpr("id", text)
+    side.write.parquet(f"{tmp_path}/side")
+    side = spark.read.parquet(f"{tmp_path}/side")
+    scored = E.score_predictions(
+        side.withColumnRenamed("json", "expected_json"), side.withColumnRenamed("json", "predicted_json"), ["id"], FIELDS
+    )
+    tasks = scored.select("match", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) > 1 and all(t.match for t in tasks)
+
+
+def test_numbers_by_value(spark):
+    given = {"a": 1.0, "b": "1.0", "c": 'x\\".0', "d": -2.0, "e": 1.05, "f": [3.0, "4.0"], "g": None, "h": ".0"}
+    df = spark.createDataFrame([(json.dumps(given),)], "t string")
+    found = df.select(E.object_members(F.col("t")).alias("m")).first()["m"]
+    assert {m["key"]: m["value"] for m in found} == {
+        "a": "1", "b": '"1.0"', "c": json.dumps(given["c"]), "d": "-2", "e": "1.05", "f": '[3,"4.0"]', "g": "null", "h": '".0"'}
+
+
 def test_open_records(make):
     pairs = [('{"a":1,"z":{"k":[1]}}', '{"z":{"k":[1]},"a":1}', True), ('{"a":1}', '{"a":2}', False), ("x", "x", False)]
     df = make([(i, l, r) for i, (l, r, _) in enumerate(pairs)], "id int, l string, r string")
