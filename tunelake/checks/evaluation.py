@@ -14,7 +14,7 @@ from tunelake.functions.text import after_last_marker, strip_prompt
 from tunelake.operators import evaluation as E
 from tunelake.operators.inference import batch_infer, infer_missing, run_sample_grid
 from tunelake.session import new_folder, ship_package
-from tunelake.sources.single_file import write_results_file
+from tunelake.sources.single_file import read_results_file, write_results_file
 from tunelake.sources.sinks import write_eval_results
 
 _FIELDS = ["cancer_type", "stage"]
@@ -76,11 +76,11 @@ def eval_results(spark, sf):
 
 @query("eval_results_list", f"with {_SCORES} select id, match, stage_match from scored")
 def eval_list(spark, sf):
-    """One JSON list, read back as one document."""
+    """One JSON list, read back by ranges of the file."""
     path = f"{new_folder(spark, 'results')}/evaluation_results.json"
     rows = _scored(spark, sf).select("id", "match", "stage_match")
     write_results_file(rows, path, ["id"])
-    return spark.read.schema(rows.schema).option("multiLine", "true").json(path)
+    return read_results_file(spark, path, rows.schema)
 
 
 @query("open_match", """

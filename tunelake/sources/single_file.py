@@ -1,12 +1,16 @@
 """One ordered file from many tasks: CSV with one header, one JSON list.
 
-The rows are sorted by range over the tasks and formatted there, in pieces of ``PIECE_BYTES``. Sums of
+The rows are written once to the shared folder, as a sort by range reads its input twice. They are sorted
+by range over the tasks and formatted there, in pieces of ``PIECE_BYTES``. Sums of
 the sizes of the pieces before it give each piece its place in the file, and all pieces are written at
 their places at the same time; no task sees more than its own. A task that runs again writes the same
 bytes to the same place. The file grows under another name and gets its own one when it is whole.
 
 This needs a file system that takes writes at any place of a file: a local or mounted one. For a store of
 objects write the parts instead (``write_metrics_csv``, ``write_eval_results``).
+
+A JSON list is read again by many tasks: a writer with an indent of two ends each element on a line of its
+own, and line breaks inside of values are escaped (``read_results_file``).
 """
 
 from __future__ import annotations
@@ -21,12 +25,15 @@ from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunelake.session import ship_package, written
 
 PIECE_BYTES = 4 << 20
+#: What stands between the elements of a list, each of which is an object.
+_BETWEEN = "\n  },\n"
 
 
 def _place(path: str) -> str:
@@ -49,14 +56,16 @@ def json_text(batch: pa.RecordBatch) -> str:
 
 
 def write_in_order(
-    df: DataFrame, path: str, order: list[str], text: Callable[[pa.RecordBatch], str], head: bytes, tail: bytes, over: int = 0
+    df: DataFrame, path: str, order: list[str], text: Callable[[pa.RecordBatch], str], head: bytes, tail: bytes, over: int = 0,
+    empty: bytes | None = None,
 ) -> None:
     """Write ``head``, the text of the rows by ``order``, and ``tail`` to one file.
 
-    ``head`` covers the first ``over`` bytes of the rows.
+    ``head`` covers the first ``over`` bytes of the rows. Without rows the file is ``empty``, if given.
     """
     target = _place(path)
     ship_package(df.sparkSession)
+    df = written(df, "rows")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, waiting, size = TaskContext.get().partitionId(), 0, [], 0
@@ -82,6 +91,8 @@ def write_in_order(
     ).withColumn("size", F.length("bytes").cast("long"))
     # One row for each task of the sort.
     sizes = sorted(tuple(r) for r in found.groupBy("part").agg(F.sum("size")).collect())
+    if not sizes and empty is not None:
+        head, tail, over = empty, b"", 0
     start, starts = len(head) - over, []
     for part, size in sizes:
         starts.append((part, start))
@@ -127,7 +138,18 @@ def write_metrics_file(wide: DataFrame, path: str, order: list[str] = ("step",))
 
 def write_results_file(results: DataFrame, path: str, order: list[str]) -> None:
     """One JSON list with an indent of two, elements by ``order``; null fields are written."""
-    if results.isEmpty():
-        write_in_order(results, path, order, json_text, b"[]", b"")
-    else:
-        write_in_order(results, path, order, json_text, b"[", b"\n]", over=1)
+    write_in_order(results, path, order, json_text, b"[", b"\n]", over=1, empty=b"[]")
+
+
+def read_results_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The elements of a list that ``write_results_file`` has written, in no order; a field left out is null.
+
+    Tasks read ranges of the file, as the elements are told apart without what stands before them. Text
+    that is no such element fails.
+    """
+    pieces = spark.read.text(path, lineSep=_BETWEEN).select(
+        F.regexp_replace("value", r"\A\[\n|\n\]\z", "").alias("value")
+    )
+    whole = F.when(F.rlike("value", F.lit(r"\n  \}\z")), F.col("value")).otherwise(F.concat("value", F.lit("\n  }")))
+    element = F.from_json(whole, schema, {"mode": "FAILFAST"}).alias("element")
+    return pieces.filter("value <> '[]'").select(element).select("element.*")
