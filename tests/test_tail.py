@@ -109,3 +109,16 @@ def test_a_batch_that_runs_again_finds_its_file(tmp_path):
 def test_empty_folder(log):
     _, read = log
     assert read() == []
+
+
+def test_a_batch_opens_each_file_once(tmp_path, monkeypatch):
+    from tunelake.checks import fixtures
+
+    opened = []
+    monkeypatch.setattr(fixtures, "open", lambda *given: opened.append(given[0]) or open(*given), raising=False)
+    for turn in range(2):
+        fixtures.append_batch(str(tmp_path), [0, 1] * 500, [f"{turn} {n}" for n in range(1000)])
+    assert len(opened) == 4
+    for number in range(2):
+        written = (tmp_path / f"app-{number}.log").read_text().splitlines()
+        assert written == [f"{turn} {n}" for turn in range(2) for n in range(number, 1000, 2)]

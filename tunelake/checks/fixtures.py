@@ -316,6 +316,16 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def append_batch(place: str, numbers: list[int], lines: list[str]) -> None:
+    """Append each line to the file of its number, in order; a file is opened once."""
+    of_file: dict[int, list[str]] = {}
+    for number, line in zip(numbers, lines):
+        of_file.setdefault(number, []).append(line + "\n")
+    for number, own in of_file.items():
+        with open(f"{place}/app-{number}.log", "a") as file:
+            file.write("".join(own))
+
+
 def append_lines(lines: DataFrame, folder: str, files: int) -> None:
     """Append the only column of ``lines`` to the files ``app-<n>.log`` of a folder, as a program logs."""
     place = urlparse(folder).path
@@ -323,9 +333,7 @@ def append_lines(lines: DataFrame, folder: str, files: int) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(place, exist_ok=True)
         for batch in batches:
-            for name, line in zip(*(c.to_pylist() for c in batch.columns)):
-                with open(f"{place}/app-{name}.log", "a") as file:
-                    file.write(line + "\n")
+            append_batch(place, *(c.to_pylist() for c in batch.columns))
             yield batch.slice(0, 0)
 
     numbered = lines.select(F.pmod(F.hash(lines.columns[0]), F.lit(files)).alias("n"), *lines.columns)
