@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.operators.ranking import rank_in_groups
+from tunelake.session import written
 
 METRICS_SCHEMA = "run string, tag string, step bigint, value double, wall_time double, ord bigint"
 
@@ -88,7 +89,8 @@ def read_trainer_state(spark: SparkSession, path: str | list[str]) -> tuple[Data
 
     ``run`` is the folder above ``checkpoint-N``, or the document's own folder where it lies in none.
     The metrics have the columns of all metric sources, without wall times. Every checkpoint of a run
-    holds the whole history so far; of each only the steps after the checkpoint before are taken.
+    holds the whole history so far; of each only the steps after the checkpoint before are taken. Every
+    file is opened once: the parsed states are written to the shared folder.
     """
     file = F.col("_metadata.file_path")
     states = (
@@ -107,6 +109,7 @@ def read_trainer_state(spark: SparkSession, path: str | list[str]) -> tuple[Data
             ).cast("bigint"),
         )
     )
+    states = written(states, "states")
     headers = trainer_state_header(states, ["run", "folder"])
     # One row for each checkpoint of a run.
     before = Window.partitionBy("run").orderBy("_number", "folder")
