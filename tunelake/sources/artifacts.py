@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import errno
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -24,6 +26,14 @@ _LISTED_ARROW = pa.schema(
 )
 #: Entries that a task lists of one folder, into how many parts a larger one is dealt, rows of a batch.
 LARGE_FOLDER, PARTS, LISTED_ROWS = 20_000, 64, 4096
+#: Folders that a task lists.
+TASK_FOLDERS = 2048
+
+
+def local_path(path: str) -> str | None:
+    """The name that a ``file:`` path has on the machine; any character may stand in it."""
+    found = re.fullmatch("file:(?://(?=/))?(/.*)?", path, re.DOTALL)
+    return (found[1] or "/") if found else None
 
 
 def _entries(folder: str, part: int, parts: int) -> Iterator[tuple]:
@@ -32,35 +42,45 @@ def _entries(folder: str, part: int, parts: int) -> Iterator[tuple]:
     def own(name: str) -> bool:
         return parts == 1 or zlib.crc32(name.encode("utf-8", "surrogateescape")) % parts == part
 
-    system, inside = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
-    if isinstance(system, fs.LocalFileSystem):  # one name after the other; only own ones are looked at
-        with os.scandir(inside) as found:
+    local = local_path(folder)
+    if local is not None:  # one name after the other; only own ones are looked at
+        if "%" in local and not os.path.isdir(local):  # a URI with escapes
+            local = unquote(local)
+        with os.scandir(local) as found:
             for entry in found:
                 if own(entry.name):
                     try:
                         is_folder, facts = entry.is_dir(), entry.stat()
-                    except FileNotFoundError:  # gone meanwhile, or a link to nothing
+                    except OSError as error:  # gone meanwhile, or a link to nothing or to itself
+                        if error.errno not in (errno.ENOENT, errno.ELOOP):
+                            raise
                         continue
                     time = datetime.fromtimestamp(facts.st_mtime, timezone.utc)
                     yield entry.name, is_folder, 0 if is_folder else facts.st_size, time
         return
+    system, inside = fs.FileSystem.from_uri(folder)
     for entry in system.get_file_info(fs.FileSelector(inside)):
         if own(entry.base_name):
             yield entry.base_name, entry.type == fs.FileType.Directory, entry.size or 0, entry.mtime
 
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The entries of folders, every name among them; of a large one the parts that are to be listed."""
+def _list_folders(
+    batches: Iterator[pa.RecordBatch], shown: Callable[[str], bool] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The entries of folders, of every name or of those shown; of a large one the parts that are to be listed."""
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(column, field.type) for column, field in zip(zip(*rows), _LISTED_ARROW)], schema=_LISTED_ARROW
         )
 
+    ready: list[tuple] = []
     for given in batches:
         for folder, part, parts in zip(*(column.to_pylist() for column in given.columns)):
             rows: list[tuple] = []
             for name, is_folder, length, time in _entries(folder, part, parts):
+                if shown is not None and not shown(name):
+                    continue
                 rows.append((f"{folder.rstrip('/')}/{name}", is_folder, 0, 1, length, time))
                 if parts == 1 and len(rows) > LARGE_FOLDER:
                     rows = [(folder, True, i, PARTS, 0, None) for i in range(PARTS)]
@@ -68,8 +88,12 @@ def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if parts > 1 and len(rows) >= LISTED_ROWS:
                     yield batch(rows)
                     rows = []
-            if rows:
-                yield batch(rows)
+            ready += rows
+            if len(ready) >= LISTED_ROWS:
+                yield batch(ready)
+                ready = []
+    if ready:
+        yield batch(ready)
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
@@ -81,17 +105,26 @@ def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
     each of which looks at its own share only and passes on a bounded batch at a time. For a store that
     keeps an inventory of its objects, that table serves as listing itself.
     """
-    ship_package(spark)
     start = root if re.match("[A-Za-z][A-Za-z0-9+.-]*:", root) else "file:" + os.path.abspath(root)
-    folders = spark.createDataFrame([(start.rstrip("/"), 0, 1)], "path string, part int, parts int")
+    return list_folders(spark, [start])
+
+
+def list_folders(spark: SparkSession, starts: list[str], shown: Callable[[str], bool] | None = None) -> DataFrame:
+    """Every file under several folders, as ``list_artifacts``; with ``shown`` only what lies under names of that kind."""
+    ship_package(spark)
+    folders = spark.createDataFrame([(start.rstrip("/"), 0, 1) for start in starts], "path string, part int, parts int")
     files = None
     while True:
-        listed = written(folders.repartition("path", "part").mapInArrow(_list_folders, _LISTED), "listing")
+        of_one = F.col("parts") == 1
+        small, large = folders.agg(F.count_if(of_one), F.count_if(~of_one)).first()
+        if files is not None and not small + large:
+            return files
+        tasks = large + max(min(small, spark.sparkContext.defaultParallelism), -(-small // TASK_FOLDERS))
+        dealt = folders.repartition(tasks, "path", "part")
+        listed = written(dealt.mapInArrow(lambda batches: _list_folders(batches, shown), _LISTED), "listing")
         here = listed.filter(~F.col("is_folder")).drop("is_folder", "part", "parts")
         files = here if files is None else files.unionByName(here)
         folders = listed.filter("is_folder").select("path", "part", "parts")
-        if folders.isEmpty():
-            return files
 
 
 def exclude_paths(artifacts: DataFrame, patterns: list[str], path: str = "path") -> DataFrame:

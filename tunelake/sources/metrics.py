@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tunelake.operators.ranking import rank_in_groups
 from tunelake.session import written
+from tunelake.sources.documents import read_documents
 
 METRICS_SCHEMA = "run string, tag string, step bigint, value double, wall_time double, ord bigint"
 
@@ -90,15 +91,12 @@ def read_trainer_state(spark: SparkSession, path: str | list[str]) -> tuple[Data
     ``run`` is the folder above ``checkpoint-N``, or the document's own folder where it lies in none.
     The metrics have the columns of all metric sources, without wall times. Every checkpoint of a run
     holds the whole history so far; of each only the steps after the checkpoint before are taken. Every
-    file is opened once: the parsed states are written to the shared folder.
+    file is opened once: the parsed states are written to the shared folder. No list of files is held by the
+    driver where the files are local or mounted (``read_documents``).
     """
-    file = F.col("_metadata.file_path")
+    file = F.col("_file")
     states = (
-        spark.read.option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "trainer_state.json")
-        .schema(TRAINER_STATE_SCHEMA)
-        .json(path)
+        read_documents(spark, path, "trainer_state.json", TRAINER_STATE_SCHEMA)
         .withColumn("folder", F.regexp_replace(file, r"/[^/]*$", ""))
         .withColumn("run", F.regexp_extract(file, r"/([^/]+?)(?:/checkpoint-[0-9]+)?/[^/]*$", 1))
         .withColumn(
@@ -108,17 +106,19 @@ def read_trainer_state(spark: SparkSession, path: str | list[str]) -> tuple[Data
                 F.col("global_step"),
             ).cast("bigint"),
         )
+        .drop("_file")
     )
     states = written(states, "states")
     headers = trainer_state_header(states, ["run", "folder"])
-    # One row for each checkpoint of a run.
+    # One row for each checkpoint of a run. Names pack so well that these look small enough to broadcast.
     before = Window.partitionBy("run").orderBy("_number", "folder")
     starts = states.select("run", "folder", "_number").select(
         F.col("folder").alias("_folder"), F.lag("_number").over(before).alias("_from")
     )
     metrics = (
-        explode_trainer_state(states, ["run", "folder"])
-        .join(starts, F.col("folder") == F.col("_folder"))
+        explode_trainer_state(
+            states.join(starts.hint("merge"), F.col("folder") == F.col("_folder")), ["run", "folder", "_from"]
+        )
         .filter(F.col("_from").isNull() | (F.col("step") > F.col("_from")))
         .select("run", "tag", "step", "value", F.lit(None).cast("double").alias("wall_time"), "ord")
     )
