@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from tunelake.operators import inference
 from tunelake.operators.inference import infer_missing, stored_answers
 
 
@@ -72,3 +73,29 @@ def test_answers_belong_to_runs(make, tmp_path, counted):
         got = infer_missing(df, model(), str(tmp_path / "a"), run_column="run").collect()
         assert len(got) == 12 and all(r.full_output == f"('{r.run}',){r.prompt}|0.95" for r in got)
     assert len(calls()) == 12
+
+
+def test_a_block_reads_its_own_prompts_only(spark, make, tmp_path, counted, monkeypatch):
+    model, _ = counted
+    parts, infer = [], inference.batch_infer
+
+    def noted(part, *args, **how):
+        parts.append(part)
+        return infer(part, *args, **how)
+
+    monkeypatch.setattr(inference, "batch_infer", noted)
+    df = make([(i, f"p{i}") for i in range(100)], "id int, prompt string")
+    infer_missing(df, model(), str(tmp_path / "a"), blocks=12)
+    files = [f for part in parts for f in part.inputFiles()]
+    assert len(parts) == 12 and len(files) == len(set(files))  # no file is read for two blocks
+    assert sum(spark.read.parquet(f).count() for f in files) == 100
+
+
+def test_null_empty_and_repeated_prompts(make, tmp_path, counted, rows):
+    model, calls = counted
+    folder = str(tmp_path / "answers")
+    df = make([(1, None), (1, None), (2, ""), (3, "p"), (3, "p"), (4, "p")], "id int, prompt string")
+    want = [(1, "()None|0.95")] * 2 + [(2, "()|0.95")] + [(3, "()p|0.95")] * 2 + [(4, "()p|0.95")]
+    for _ in range(2):
+        assert rows(infer_missing(df, model(), folder, blocks=3), "id", "full_output") == want
+    assert len(calls()) == 2  # an empty line is no call here
