@@ -172,6 +172,60 @@ def test_counts_of_a_task_are_sums(spark):
     assert sent[0].count() == 2
 
 
+ODD = ["Σ", "ΟΔΟΣ", "ΟΔΟΣ'Α", "ʰΣ", "İ", "ß", "Ann", "ann", "b", "_", "a_b", " ", "  ", "\t", "\n", "\xa0", "\u2028", "-", "'", "7", "٣", "名前", "e\u0301"]
+
+
+def plain_terms(text):
+    """Places of words and of pairs of words with a space between, word by word."""
+    words = list(re.finditer(r"[^\W_]+", text))
+    found = [(m.start(), m.end(), m[0].lower()) for m in words]
+    found += [(a.start(), b.end(), f"{a[0].lower()} {b[0].lower()}") for a, b in zip(words, words[1:])
+              if text[a.end() : b.start()] == " "]
+    return sorted(found)
+
+
+def test_terms_as_word_by_word():
+    pick = random.Random(5)
+    texts = ["".join(pick.choice(ODD) + pick.choice(["", " ", " "]) for _ in range(pick.randint(0, 15))) for _ in range(4000)]
+    every = sorted({term for text in texts for *_, term in plain_terms(text)})
+    for text in texts:
+        terms = dict.fromkeys(pick.sample(every, 200))
+        pairs = privacy._of_two(terms)
+        found = [t for t in plain_terms(text) if t[2] in terms]
+        assert sorted(privacy._term_spans(text, [], terms, pairs)) == found, text
+        alone = frozenset(t for t in terms if " " not in t)
+        assert privacy._held(text, alone, pairs) == {t[2] for t in found}, text
+
+
+def test_only_stretches_with_a_term_are_read_pair_by_pair(monkeypatch):
+    """Of words without a term none is looked at on its own, and no pair of them is made."""
+    made, pair = [], privacy._pair
+    monkeypatch.setattr(privacy, "_pair", lambda *given: made.append(given) or pair(*given))
+    terms = {"wu": "", "april rose": ""}
+    text = "one two three, " * 500 + "here is Wu; " + "april and rose " * 500
+    assert [t for *_, t in privacy._term_spans(text, [], terms, privacy._of_two(terms))] == ["wu"]
+    assert len(made) == 2
+
+
+def test_texts_go_to_python_once_to_be_searched(make, rows, monkeypatch):
+    """Terms of the last block are found by the worker that writes the result; blocks do not change it."""
+    extra = [(400 + i, "April Rose met Wu, ann@x.example.org" if i < 12 else "other words here") for i in range(200)]
+    extra = [(k, f"{text} {k} {k % 7}") for k, text in extra]
+    df = make([*documents(), *extra, (None, None)], "doc_id long, text string")
+    found = privacy.find(df)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert privacy.disclosing_terms(df).count() > 1
+    monkeypatch.setattr(privacy, "BLOCK_TERMS", 1)
+    assert rows(privacy.find(df)) == rows(found)
+
+
+def test_counts_of_null_empty_and_repeated_texts(make):
+    texts = make([(None,), (None,), ("",), ("Wu lives",), ("Wu lives",), ("wu  lives wu",)], "text string")
+    terms = make([("wu",), ("wu lives",), ("wu lives",), ("lives wu",), ("gone",)], "term string")
+    counted = {r.term: r.documents for r in privacy.document_counts(texts, terms).collect()}
+    assert counted == {"wu": 3, "wu lives": 2, "lives wu": 1}
+
+
 def test_find(make, rows):
     given = [*documents(), (None, None), (301, ""), (301, ""), (302, "Zorro: 10.0.0.1, +49 30 1234567")]
     got = rows(privacy.find(make([(*g, "x") for g in given], "doc_id long, text string, spans string")))
