@@ -172,3 +172,40 @@ def test_match_as_python_compares(make):
     assert all(r["same"] == (json.loads(r["x"]) == json.loads(r["y"])) for r in got)
     wrong = make([("nope", "nope"), (None, "{}"), ("[1]", "[1]")], "x string, y string")
     assert not any(r[0] for r in wrong.select(E.same_object(F.col("x"), F.col("y"))).collect())
+
+
+@pytest.fixture
+def spread(spark):
+    """Shuffled rows stay where they were dealt, however few they are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_pairs_of_one_key_are_compared_by_many_tasks(spark, make, spread):
+    left = make([(1, f'{{"a": "{i}"}}') for i in range(20)], "id int, expected_json string").coalesce(1)
+    right = make([(1, f'{{"a": "{i}"}}') for i in range(20)], "id int, predicted_json string").coalesce(1)
+    dealt = E.dealt_out(left.join(right, "id"))
+    task, same = F.spark_partition_id(), E.same_object(F.col("expected_json"), F.col("predicted_json"))
+    got = dealt.select(task.alias("task"), same.alias("same")).collect()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(got) == 400 and sum(r.same for r in got) == 20
+    assert len({r.task for r in got}) > min(tasks, 400) // 2 >= 1
+
+
+def test_open_match_deals_its_pairs_before_it_parses_them(spark):
+    from __spark_entry__ import SMOKE_DIR, queries
+
+    plan = queries()["open_match"](spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("RebalancePartitions") < plan.index("Join")
+
+
+def test_null_odd_and_repeated_pairs_stay(make, spread):
+    texts = [(1, None, '{"a": 1}'), (1, None, '{"a": 1}'), (None, '{"a": 1}', '{"a": 1.0}'), (2, "", ""), (2, None, None),
+             (3, '{"a": {"b": true}}', '{"a": {"b": 1}}'), (3, '{"a": {"b": true}}', '{"a": {"b": 1}}'), (4, "x", "{}"), (4, "{}", "{}")]
+    given = make(texts, "id int, l string, r string")
+    got = E.dealt_out(given).select("id", "l", "r", E.same_object(F.col("l"), F.col("r")).alias("same")).collect()
+    want = [(*t, False) for t in texts[:2]] + [(*texts[2], True)] + [(*t, False) for t in texts[3:5]]
+    want += [(*t, True) for t in texts[5:7]] + [(*texts[7], False), (*texts[8], True)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert E.dealt_out(given.limit(0)).count() == 0

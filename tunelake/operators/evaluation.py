@@ -156,6 +156,15 @@ def same_object(left: Column, right: Column) -> Column:
     return F.coalesce(F.when(deep, exact).otherwise(object_members(left) == object_members(right)), F.lit(False))
 
 
+def dealt_out(pairs: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly to as many tasks as their size asks for, ahead of ``same_object``.
+
+    Parsing costs far more than reading: rows would else be parsed by the few tasks that scan, or that hold
+    a frequent key. They are dealt by all columns, so that the rows of one key go apart.
+    """
+    return pairs.hint("rebalance", *pairs.columns)
+
+
 def exact_match_accuracy(scored: DataFrame) -> DataFrame:
     """Samples, exact matches and their share in percent; null share where there are no samples."""
     return scored.agg(
